@@ -238,15 +238,7 @@ _PERFORMANCE_COLUMNS = (
     "total_active_listings, new_listings, "
     + _rounded("avg_listing_price median_listing_price occupancy_rate avg_price_per_sqft")
 )
-_LOCATION_COLUMNS = "total_bookings, total_viewings, " + _rounded("avg_price booking_conversion_rate")
-_LISTING_COLUMNS = (
-    "week_start_date, apartment_id, title, city, state, total_bookings, "
-    + _rounded("total_revenue avg_stay_duration occupancy_rate")
-)
-_HISTORY_COLUMNS = (
-    "user_id, week_start_date, total_bookings, favorite_city, is_repeat_customer, "
-    + _rounded("total_spend avg_booking_duration")
-)
+_LOCATION_COLUMNS = "total_bookings, total_viewings, avg_price, booking_conversion_rate"
 _ACTIVITY_COLUMNS = (
     "user_id, apartment_id, activity_type, activity_date, is_wishlisted, call_to_action, "
     "booking_id, checkin_date, checkout_date, stay_duration, total_price, booking_status, "
@@ -254,20 +246,20 @@ _ACTIVITY_COLUMNS = (
 )
 _LISTING_KPIS = """
   count(id) AS total_listings, count(*) FILTER (WHERE is_active) AS active_listings,
-  round(CAST(sum(CAST(price_usd AS DECIMAL(18,2))) AS DOUBLE) / count(price_usd), 6) AS avg_price,
+  CAST(sum(CAST(price_usd AS DECIMAL(18,2))) AS DOUBLE) / count(price_usd) AS avg_price,
   min(price_usd) AS min_price, max(price_usd) AS max_price,
-  round(avg(days_since_listing), 6) AS avg_days_listed"""
+  avg(days_since_listing) AS avg_days_listed"""
 _VIEWING_KPIS = """
   count(*) AS total_viewings, count(*) FILTER (WHERE is_wishlisted) AS total_wishlisted,
   count(user_id) AS total_users, count(viewing_duration_seconds) AS total_timed_viewings,
-  round(avg(viewing_duration_seconds), 6) AS avg_viewing_duration"""
+  avg(viewing_duration_seconds) AS avg_viewing_duration"""
 _BOOKING_KPIS = """
   count(*) AS total_bookings, count(*) FILTER (WHERE booking_status = 'confirmed')
     AS confirmed_bookings,
-  round(CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) / count(total_price), 6)
+  CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) / count(total_price)
     AS avg_booking_value,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS total_booking_value,
-  round(avg(booking_duration_days), 6) AS avg_booking_duration"""
+  avg(booking_duration_days) AS avg_booking_duration"""
 
 
 def _summary(stage: str, value: str) -> str:
@@ -413,7 +405,7 @@ FROM (SELECT id, viewed_at,
         "enrich_bookings": _with(["e_bookings"], "SELECT * FROM e_bookings"),
         "enrich_attributes": _with(
             ["e_attributes"],
-            f"SELECT * EXCLUDE (price_per_sqft), {_rounded('price_per_sqft')} FROM e_attributes",
+            "SELECT * FROM e_attributes",
         ),
         "constant_currency": _with(["bookings"], "SELECT id, 'EUR' AS currency FROM bookings"),
         "listing_kpis": _with(["e_apartments"], f"SELECT {_LISTING_KPIS} FROM e_apartments"),
@@ -424,11 +416,11 @@ FROM (SELECT id, viewed_at,
         "booking_kpis": _with(["e_bookings"], f"SELECT {_BOOKING_KPIS} FROM e_bookings"),
         "presentation_metrics": _with(["e_apartments", "e_viewings", "e_bookings"], f"""
 SELECT *,
-  CASE WHEN total_viewings > 0 THEN round(total_bookings::DOUBLE / total_viewings, 6)
+  CASE WHEN total_viewings > 0 THEN total_bookings::DOUBLE / total_viewings
     ELSE 0.0::DOUBLE END AS booking_conversion_rate,
-  CASE WHEN total_viewings > 0 THEN round(total_wishlisted::DOUBLE / total_viewings, 6)
+  CASE WHEN total_viewings > 0 THEN total_wishlisted::DOUBLE / total_viewings
     ELSE 0.0::DOUBLE END AS wishlist_rate,
-  CASE WHEN active_listings > 0 THEN round(total_viewings::DOUBLE / active_listings, 6)
+  CASE WHEN active_listings > 0 THEN total_viewings::DOUBLE / active_listings
     ELSE 0.0::DOUBLE END AS avg_viewings_per_listing,
   {_AS_OF} AS generated_at, CAST({_AS_OF} AS DATE) AS metrics_date
 FROM (SELECT {_LISTING_KPIS} FROM e_apartments), (SELECT {_VIEWING_KPIS} FROM e_viewings),
@@ -436,7 +428,7 @@ FROM (SELECT {_LISTING_KPIS} FROM e_apartments), (SELECT {_VIEWING_KPIS} FROM e_
         "curated_apartments": _with(["c_apartments"], "SELECT * FROM c_apartments"),
         "curated_details": _with(
             ["c_details"],
-            f"SELECT * EXCLUDE (price_per_sqft), {_rounded('price_per_sqft')} FROM c_details",
+            "SELECT * FROM c_details",
         ),
         "user_activity_union": _with(
             ["activity"], f"SELECT {_ACTIVITY_COLUMNS}, source_id FROM activity"
@@ -455,13 +447,10 @@ SELECT row_number() OVER (ORDER BY activity_date NULLS FIRST, activity_type, sou
             ["locations"], f"SELECT week_start_date, city, state, {_LOCATION_COLUMNS} FROM locations"
         ),
         "top_listings_weekly": _with(
-            ["top_listings"], f"SELECT {_LISTING_COLUMNS} FROM top_listings"
+            ["top_listings"], "SELECT * FROM top_listings"
         ),
-        "user_engagement_weekly": _with(["engagement"], f"""
-SELECT week_start_date, total_users, active_users, new_users, total_bookings,
-  {_rounded('avg_bookings_per_user avg_booking_duration repeat_customer_rate')}
-FROM engagement"""),
-        "user_booking_history": _with(["history"], f"SELECT {_HISTORY_COLUMNS} FROM history"),
+        "user_engagement_weekly": _with(["engagement"], "SELECT * FROM engagement"),
+        "user_booking_history": _with(["history"], "SELECT * FROM history"),
         "price_summary": _summary("performance", "avg_listing_price"),
         "price_summary_display": _with([], f"""
 SELECT printf('%.2f', avg_value) AS avg_value, printf('%.2f', max_value) AS max_value,
@@ -480,7 +469,7 @@ PIVOT (SELECT week_start_date, city, total_bookings FROM locations WHERE city IN
     SELECT city FROM locations GROUP BY city ORDER BY sum(total_bookings) DESC, city LIMIT 5))
 ON city USING first(total_bookings) GROUP BY week_start_date"""),
         "top_listings_latest": _with(
-            ["latest_listings"], f"SELECT {_LISTING_COLUMNS} FROM latest_listings"
+            ["latest_listings"], "SELECT * FROM latest_listings"
         ),
         "corr_occupancy_revenue": _correlation("latest_listings", "occupancy_rate", "total_revenue"),
         "bookings_per_user_summary": _summary("engagement", "avg_bookings_per_user"),
@@ -512,7 +501,7 @@ FROM (SELECT count(*) AS customers, count(*) FILTER (WHERE r) AS repeat_customer
     avg(avg_booking_duration) FILTER (WHERE NOT r) AS od
   FROM (SELECT *, is_repeat_customer AS r FROM latest_history))"""),
         "repeat_customers": _with(["history"], """
-SELECT user_id, week_start_date, round(total_spend, 6) AS total_spend
+SELECT user_id, week_start_date, total_spend
 FROM history WHERE is_repeat_customer"""),
         "activity_rate": _with(["engagement"], f"""
 SELECT week_start_date, active_users, total_users, round({activity_rate}, 6) AS activity_rate
@@ -585,10 +574,7 @@ FROM bookings b LEFT JOIN apartments a ON a.id = b.apartment_id"""),
             f"SELECT '{t}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {t}"
             for t in SOURCE_TABLES
         )),
-        "pipeline_e2e": _with(["engagement"], f"""
-SELECT week_start_date, total_users, active_users, new_users, total_bookings,
-  {_rounded('avg_bookings_per_user avg_booking_duration repeat_customer_rate')}
-FROM engagement"""),
+        "pipeline_e2e": _with(["engagement"], "SELECT * FROM engagement"),
         "bucketed_join": _with(["bookings", "apartment_attributes"], """
 SELECT apartment_id, cityname, count(*) AS n_bookings,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS spend

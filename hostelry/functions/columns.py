@@ -53,24 +53,23 @@ def fixed_decimals(value: Column, digits: int = 2) -> Column:
     return F.when(value.isNotNull(), text)
 
 
-def clip_bytes(value: Column, limit: int) -> Column:
-    """Longest prefix of whole characters that fits ``limit`` UTF-8 bytes.
+def clip_bytes_sql(column: str, limit: int) -> str:
+    """SQL for the longest prefix of whole characters within ``limit`` UTF-8 bytes.
 
     A UTF-8 character has at most 4 bytes, so the cut moves back by at most 3
     positions until the first dropped byte is not a continuation byte.
     """
-    raw = value.cast("binary")
-
-    def starts_inside_character(position: int) -> Column:
-        return F.hex(F.substring(raw, position, 1)).between("80", "BF")
-
-    clipped = F.substring(raw, 1, max(limit - 3, 0))
-    for back in (2, 1, 0):
-        keep = max(limit - back, 0)
-        clipped = F.when(
-            ~starts_inside_character(keep + 1), F.substring(raw, 1, keep)
-        ).otherwise(clipped)
-    return F.when(F.octet_length(value) <= limit, value).otherwise(clipped.cast("string"))
+    raw = f"CAST({column} AS BINARY)"
+    cuts = [max(limit - back, 0) for back in range(4)]
+    tries = " ".join(
+        f"WHEN hex(substring({raw}, {keep + 1}, 1)) NOT BETWEEN '80' AND 'BF' "
+        f"THEN CAST(substring({raw}, 1, {keep}) AS STRING)"
+        for keep in cuts[:3]
+    )
+    return (
+        f"CASE WHEN octet_length({column}) <= {limit} THEN {column} {tries} "
+        f"ELSE CAST(substring({raw}, 1, {cuts[3]}) AS STRING) END"
+    )
 
 
 def iso_text(value: Column, data_type: T.DataType) -> Column:

@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.columns import clip_bytes
+from ..functions.columns import clip_bytes_sql
 from ..schemas import Table
 
 _WHOLE = (T.LongType, T.IntegerType)
 
 
-def _convert(value: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``value`` as ``target``; null when it does not fit."""
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def _converted(name: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL for the column as ``target``; null when the value does not fit."""
+    column = _quoted(name)
     if source == target:
-        return value
+        return column
     if isinstance(source, T.StringType) and isinstance(target, (*_WHOLE, T.BooleanType)):
         # Whole numbers and flags often arrive as "3.0" once a column had gaps.
-        text = F.regexp_replace(F.trim(value), r"\.0+$", "")
-        return text.try_cast(target)
-    if isinstance(source, T.TimestampNTZType) or isinstance(target, T.TimestampType):
-        return value.try_cast("timestamp").try_cast(target)
-    return value.try_cast(target)
+        column = f"regexp_replace(trim({column}), '[.]0+$', '')"
+    return f"try_cast({column} AS {target.simpleString()})"
 
 
 def conform(df: DataFrame, table: Table, keep_extra: bool = False) -> DataFrame:
@@ -35,41 +38,34 @@ def conform(df: DataFrame, table: Table, keep_extra: bool = False) -> DataFrame:
     out = []
     for f in table.schema:
         if f.name in have:
-            value = _convert(F.col(f.name), have[f.name], f.dataType)
+            value = _converted(f.name, have[f.name], f.dataType)
         else:
-            value = F.lit(None).cast(f.dataType)
-        out.append(value.alias(f.name, metadata=f.metadata))
+            value = f"CAST(NULL AS {f.dataType.simpleString()})"
+        out.append(f"{value} AS {_quoted(f.name)}")
     if keep_extra:
         declared = set(table.schema.names)
-        out += [F.col(name) for name in have if name not in declared]
-    return df.select(*out)
+        out += [_quoted(name) for name in have if name not in declared]
+    return df.selectExpr(*out)
 
 
 def lost_values(df: DataFrame, table: Table) -> DataFrame:
     """Per column: non-null inputs that conformance turned into null."""
     have = {f.name: f.dataType for f in df.schema}
     counts = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.count_if(
-                F.col(f.name).isNotNull()
-                & _convert(F.col(f.name), have[f.name], f.dataType).isNull()
-            ).alias("violations"),
-        )
+        f"struct('{f.name}' AS column, count_if({_quoted(f.name)} IS NOT NULL AND "
+        f"{_converted(f.name, have[f.name], f.dataType)} IS NULL) AS violations)"
         for f in table.schema
         if f.name in have
     ]
-    one_row = df.agg(F.array(*counts).alias("c"), F.count(F.lit(1)).alias("rows"))
-    return one_row.select("rows", F.inline("c")).select("column", "violations", "rows")
-
-
-def truncate_columns(df: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
-    """Clip text to its declared byte length (from column metadata by default)."""
-    if limits is None:
-        limits = {
-            f.name: f.metadata["varchar_len"] for f in df.schema if "varchar_len" in f.metadata
-        }
-    kept = {f.name: f.metadata for f in df.schema}
-    return df.withColumns(
-        {c: clip_bytes(F.col(c), n).alias(c, metadata=kept[c]) for c, n in limits.items() if c in kept}
+    one_row = df.selectExpr(f"array({', '.join(counts)}) AS checks", "count(1) AS rows")
+    return one_row.selectExpr("rows", "inline(checks)").select("column", "violations", "rows")
+
+
+def truncate_columns(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
+    """Clip text columns to their byte limits; other columns pass through."""
+    return df.selectExpr(
+        *[
+            f"{clip_bytes_sql(_quoted(c), limits[c])} AS {_quoted(c)}" if c in limits else _quoted(c)
+            for c in df.columns
+        ]
     )

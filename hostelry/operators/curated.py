@@ -19,7 +19,7 @@ ACTIVITY_ORDER = ("activity_date", "activity_type", "source_id")
 
 def _finish(df: DataFrame, table: str, as_of: datetime) -> DataFrame:
     stamped = df.withColumn("etl_inserted_at", as_of_literal(as_of))
-    return truncate_columns(conform(stamped, TABLES[table]))
+    return truncate_columns(conform(stamped, TABLES[table]), TABLES[table].text_limits)
 
 
 def curated_apartments(enriched: DataFrame, as_of: datetime) -> DataFrame:
@@ -68,7 +68,8 @@ def user_activity(viewings: DataFrame, bookings: DataFrame, as_of: datetime) ->
         shaped(booked, "booking"), allowMissingColumns=True
     )
     stamped = both.withColumn("etl_inserted_at", as_of_literal(as_of))
-    return truncate_columns(conform(stamped, table, keep_extra=True).drop("activity_id"))
+    shaped_rows = conform(stamped, table, keep_extra=True).drop("activity_id")
+    return truncate_columns(shaped_rows, table.text_limits)
 
 
 def with_activity_ids(activity: DataFrame) -> DataFrame:

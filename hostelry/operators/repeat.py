@@ -20,17 +20,12 @@ def rolling_counts(bookings: DataFrame, days: int = 30, chunk: str = "minute") -
     before it.  A user with a large share of all rows is thereby spread over
     many tasks, while the per-user window sees one row per non-empty chunk.
     """
-    at = F.col("booking_date")
-    moments = bookings.where(at.isNotNull()).groupBy("user_id", at.alias("at")).agg(
-        F.count(F.lit(1)).alias("entered")
-    )
-    leaving = moments.select(
-        "user_id", (F.col("at") + _days(days)).alias("at"),
-        F.lit(0).cast("long").alias("entered"), F.col("entered").alias("left"),
-    )
     steps = (
-        moments.withColumn("left", F.lit(0).cast("long"))
-        .unionByName(leaving)
+        bookings.where("booking_date IS NOT NULL")
+        .select("user_id", F.expr(
+            "inline(array(struct(booking_date AS at, 1L AS entered, 0L AS left), "
+            f"struct(booking_date + interval {int(days)} days AS at, 0L AS entered, 1L AS left)))"
+        ))
         .groupBy("user_id", "at")
         .agg(F.sum("entered").alias("entered"), F.sum("left").alias("left"))
         .withColumn("chunk", F.date_trunc(chunk, "at"))

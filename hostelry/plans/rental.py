@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import money_sum
 from ..functions.columns import guarded_ratio, money, period_end, period_start
 from ..operators.medians import running_median
 from ..operators.periods import nights_per_period, period_spine, stay_masks
@@ -59,60 +58,62 @@ def rental_performance(
     creation periods, so listings are never repeated per period.
     """
     label = f"{grain}_start_date"
-    active = F.coalesce("is_active", F.lit(False))
-    rate = F.col("price_per_sqft")
-    known = listings(apartments, details).select(
-        "apartment_id", "price", "price_per_sqft", active.alias("active"),
+    known = apartments.select(
+        "apartment_id", "price", F.coalesce("is_active", F.lit(False)).alias("active"),
         period_start(F.col("listing_created_on"), grain, week_start).alias("created"),
     ).where(F.col("created").isNotNull())
+    active = known.where("active")
 
-    per_created = known.groupBy("created").agg(
-        F.count(F.lit(1)).alias("new_listings"),
-        F.count_if("active").alias("listings"),
-        F.sum(F.when(F.col("active"), money(F.col("price")))).alias("price_sum"),
-        F.count(F.when(F.col("active"), money(F.col("price")))).alias("priced"),
-        F.sum(F.when(F.col("active") & (rate > 0), rate)).alias("rate_sum"),
-        F.count_if(F.col("active") & (rate > 0)).alias("rated"),
-    )
-    last_seen = activity.agg(
-        period_start(F.max("activity_date"), grain, week_start).alias("last")
-    )
-    bounds = (
-        known.agg(F.min("created").alias("first"), F.max("created").alias("newest"))
-        .unionByName(last_seen, allowMissingColumns=True)
-        .agg(F.min("first").alias("first"),
-             F.coalesce(F.max("last"), F.max("newest")).alias("last"))
-    )
-    spine = period_spine(bounds, grain)
-
-    # One row per period from here on; bounded by the calendar.
-    so_far = W.orderBy("period").rowsBetween(W.unboundedPreceding, W.currentRow)
-    supply = (
-        spine.join(per_created.withColumnRenamed("created", "period"), "period", "left")
-        .withColumn("new_listings", F.coalesce("new_listings", F.lit(0)))
-        .withColumns(
-            {
-                c: F.sum(F.coalesce(c, F.lit(0))).over(so_far)
-                for c in ("listings", "price_sum", "priced", "rate_sum", "rated")
-            }
+    rate, price = F.col("price_per_sqft"), money(F.col("price"))
+    per_created = (
+        known.join(details.select("apartment_id", rate), "apartment_id", "left")
+        .groupBy(F.col("created").alias("period"))
+        .agg(
+            F.count(F.lit(1)).alias("new_listings"),
+            F.count_if("active").alias("listings"),
+            F.sum(F.when(F.col("active"), price)).alias("price_sum"),
+            F.count(F.when(F.col("active"), price)).alias("priced"),
+            F.sum(F.when(F.col("active") & (rate > 0), rate)).alias("rate_sum"),
+            F.count_if(F.col("active") & (rate > 0)).alias("rated"),
         )
     )
     medians = running_median(
-        known.where("active").select("created", F.col("price").alias("value")), spine,
+        active.select(F.col("created").alias("period"), F.col("price").alias("value")),
         approx=approx_median,
     )
-    nights = nights_per_period(confirmed_of(activity), grain, week_start)
     occupied = (
-        nights.join(known.where("active").select("apartment_id", "created"), "apartment_id")
+        nights_per_period(confirmed_of(activity), grain, week_start)
+        .join(active.select("apartment_id", "created"), "apartment_id")
         .where(F.col("created") <= F.col("period"))
         .groupBy("period")
         .agg(F.sum("nights").alias("nights"))
     )
+    bounds = (
+        known.agg(F.min("created").alias("first"), F.max("created").alias("newest"))
+        .unionByName(
+            activity.agg(period_start(F.max("activity_date"), grain, week_start).alias("last")),
+            allowMissingColumns=True,
+        )
+        .agg(F.min("first").alias("first"),
+             F.coalesce(F.max("last"), F.max("newest")).alias("last"))
+    )
+
+    # One row per period from here on: the windows and broadcasts are bounded by
+    # the calendar.
+    so_far = W.orderBy("period").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = ("listings", "price_sum", "priced", "rate_sum", "rated")
     period = F.col("period")
     available = F.datediff(period_end(period, grain), period) * F.col("listings")
     return (
-        supply.join(F.broadcast(medians), "period", "left")
+        period_spine(bounds, grain)
+        .join(F.broadcast(per_created), "period", "left")
+        .join(F.broadcast(medians), "period", "left")
         .join(F.broadcast(occupied), "period", "left")
+        .select(
+            "period", "nights", F.coalesce("new_listings", F.lit(0)).alias("new_listings"),
+            F.last("median", ignorenulls=True).over(so_far).alias("median"),
+            *[F.sum(F.coalesce(c, F.lit(0))).over(so_far).alias(c) for c in totals],
+        )
         .select(
             period.alias(label),
             F.try_divide(F.col("price_sum").cast("double"), F.col("priced")).alias("avg_listing_price"),

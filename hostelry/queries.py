@@ -354,22 +354,32 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
 }
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Timestamps as plain UTC wall-clock values, floats to six decimals."""
+# Answers with sums of floating-point numbers, whose last digits depend on the
+# order of the additions.  They are shown to six decimals, all others in full.
+ROUNDED = {
+    "rental_performance_weekly", "rental_performance_monthly", "price_summary",
+    "occupancy_summary", "corr_occupancy_revenue", "bookings_per_user_summary",
+    "booking_count_distribution", "booking_histogram", "booking_histogram_all_weeks",
+    "booking_kde", "booking_kde_all_weeks", "duration_summary", "corr_duration_spend",
+    "repeat_rate_summary", "repeat_vs_onetime", "activity_rate", "avg_activity_rate",
+}
+
+
+def comparable(df: DataFrame, rounded: bool = False) -> DataFrame:
+    """Timestamps as plain UTC wall-clock values, floats optionally to six decimals."""
     out = []
     for f in df.schema:
-        value = F.col(f"`{f.name}`")
+        value = f"`{f.name}`"
         if isinstance(f.dataType, T.TimestampType):
-            value = value.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.DoubleType):
-            value = F.round(value, 6)
-        out.append(value.alias(f.name))
-    return df.select(*out)
-
-
-def _query(build: Callable[[Data], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: comparable(build(Data(spark, folder)))
+            value = f"CAST({value} AS TIMESTAMP_NTZ)"
+        elif rounded and isinstance(f.dataType, T.DoubleType):
+            value = f"round({value}, 6)"
+        out.append(f"{value} AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in _BUILDERS.items()}
+    def query(name: str, build: Callable[[Data], DataFrame]):
+        return lambda spark, folder: comparable(build(Data(spark, folder)), name in ROUNDED)
+
+    return {name: query(name, build) for name, build in _BUILDERS.items()}

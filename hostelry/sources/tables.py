@@ -41,7 +41,7 @@ def refresh_table(df: DataFrame, table: str, as_of: datetime, prefix: str = "")
     loaded = conform(df, spec).withColumn(
         "etl_inserted_at", F.coalesce("etl_inserted_at", as_of_literal(as_of))
     )
-    ready = lay_out(truncate_columns(loaded), spec)
+    ready = lay_out(truncate_columns(loaded, spec.text_limits), spec)
     target = spark.table(name).columns  # partition columns last
     return observed_write(
         ready.select(*target), name, lambda d: d.write.insertInto(name, overwrite=True)
