@@ -27,25 +27,22 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     counts = _counted(df, value)
     # The sum keeps this subtree equal to the main one, so its shuffle is reused.
     span = counts.agg(
-        F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
-    ).scalar()
-    flat = F.col("s.lo") == F.col("s.hi")
-    ranged = counts.withColumn("s", span).select(
-        "v", "n",
-        F.when(flat, F.col("s.lo") - 0.5).otherwise(F.col("s.lo")).alias("lo"),
-        F.when(flat, F.col("s.hi") + 0.5).otherwise(F.col("s.hi")).alias("hi"),
+        F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")).alias("s")
+    )
+    lo = F.expr("CASE WHEN s.lo = s.hi THEN s.lo - 0.5D ELSE s.lo END").alias("lo")
+    hi = F.expr("CASE WHEN s.lo = s.hi THEN s.hi + 0.5D ELSE s.hi END").alias("hi")
+    filled = (
+        counts.withColumn("s", span.scalar()).select("v", "n", lo, hi)
+        .groupBy(F.expr(f"CAST(least(width_bucket(v, lo, hi, {bins}), {bins}) AS INT)").alias("bin"))
+        .agg(F.sum("n").alias("filled"))
+    )
+    # One row per bin from the range itself: empty bins stay visible.
+    frame = span.where("s.total IS NOT NULL").select(
+        lo, hi, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
     )
-    filled = ranged.groupBy(
-        F.least(F.width_bucket("v", "lo", "hi", F.lit(bins)), F.lit(bins)).cast("int").alias("bin"),
-        "lo", "hi",
-    ).agg(F.sum("n").alias("n"))
-    # One row with the range, then one row per bin: empty bins stay visible.
-    frame = filled.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where(
-        F.col("lo").isNotNull()
-    ).select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
     return (
-        frame.join(filled.select("bin", F.col("n").alias("filled")), "bin", "left")
+        frame.join(filled, "bin", "left")
         .select(
             "bin",
             (F.col("lo") + width * (F.col("bin") - 1)).alias("bin_start"),

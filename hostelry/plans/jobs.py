@@ -119,7 +119,8 @@ def load_curated(
     spark: SparkSession, processed_root: str, as_of: datetime, prefix: str = ""
 ) -> DataFrame:
     """Latest processed snapshots to the curated layer.  Viewings and bookings
-    share a target and are loaded together."""
+    share a target and are loaded together; their ids already follow the time
+    order, so only the two listing tables are arranged here."""
 
     def build(target: str) -> DataFrame:
         sources = [s for s, t in CURATED_ROUTES.items() if t == target]
@@ -131,7 +132,12 @@ def load_curated(
         return with_activity_ids(user_activity(*frames, as_of))
 
     targets = dict.fromkeys(CURATED_ROUTES.values())
-    return fan_out(spark, targets, lambda t: refresh_table(build(t), t, as_of, prefix))
+
+    def one(target: str) -> Audit:
+        arrange = target != "curated_user_activity"
+        return refresh_table(build(target), target, as_of, prefix, arrange)
+
+    return fan_out(spark, targets, one)
 
 
 def generate_metrics(
@@ -171,7 +177,9 @@ def build_presentation(spark: SparkSession, as_of: datetime, prefix: str = "") -
         "pres_user_engagement_weekly": lambda: engagement.user_engagement(activity),
         "pres_user_booking_history": lambda: engagement.user_booking_history(activity, details),
     }
-    return fan_out(spark, build, lambda t: refresh_table(build[t](), t, as_of, prefix))
+    return fan_out(
+        spark, build, lambda t: refresh_table(build[t](), t, as_of, prefix, arrange=True)
+    )
 
 
 def seed_from_csv(spark: SparkSession, folder: str, database: str) -> DataFrame:

@@ -30,10 +30,14 @@ def lay_out(df: DataFrame, table: Table) -> DataFrame:
     return df.repartitionByRange(*lead, *tiebreak).sortWithinPartitions(*lead)
 
 
-def refresh_table(df: DataFrame, table: str, as_of: datetime, prefix: str = "") -> Audit:
+def refresh_table(
+    df: DataFrame, table: str, as_of: datetime, prefix: str = "", arrange: bool = False
+) -> Audit:
     """Replace all rows of a declared table, clipping text to its limits.
 
     ``etl_inserted_at`` defaults to the load time where the rows carry none.
+    ``arrange`` sorts the files by the declared sort key, at the price of a
+    shuffle; without it the rows are written as they come.
     """
     spec = TABLES[table]
     name = qualified(table, prefix)
@@ -41,7 +45,9 @@ def refresh_table(df: DataFrame, table: str, as_of: datetime, prefix: str = "")
     loaded = conform(df, spec).withColumn(
         "etl_inserted_at", F.coalesce("etl_inserted_at", as_of_literal(as_of))
     )
-    ready = lay_out(truncate_columns(loaded, spec.text_limits), spec)
+    ready = truncate_columns(loaded, spec.text_limits)
+    if arrange:
+        ready = lay_out(ready, spec)
     target = spark.table(name).columns  # partition columns last
     return observed_write(
         ready.select(*target), name, lambda d: d.write.insertInto(name, overwrite=True)
