@@ -1,0 +1,166 @@
+import json
+from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from conftest import collect
+
+from hostelry import schemas
+from hostelry.operators.curated import with_activity_ids  # noqa: F401 - import must not need a session
+from hostelry.session import materialize, scratch_path
+from hostelry.sources import csv, jdbc, snapshots, synthetic, tables
+from hostelry.sources.json_rows import rows_to_json
+
+T1, T2 = datetime(2024, 1, 1, 2, 3, 4), datetime(2024, 1, 2)
+
+
+def test_snapshots_latest_and_rerun(spark, rows, tmp_path):
+    root = str(tmp_path)
+    first = snapshots.write_snapshot(rows("id int", (1,), (2,)), root, "t", T1)
+    assert first.rows == 2 and first.path.endswith("run_ts=20240101_020304")
+    snapshots.write_snapshot(rows("id int", (3,)), root, "t", T2)
+    assert collect(snapshots.read_latest(spark, root, "t")) == [(3,)]
+    snapshots.write_snapshot(rows("id int", (4,)), root, "t", T2)  # a rerun replaces its own folder
+    assert collect(snapshots.read_latest(spark, root, "t", schema="id int")) == [(4,)]
+    history = snapshots.read_history(spark, root, "t")
+    assert collect(history.select("id", "run_ts"), "id") == [
+        (1, "20240101_020304"), (2, "20240101_020304"), (4, "20240102_000000")]
+
+
+def test_unfinished_snapshot_is_skipped(spark, rows, tmp_path):
+    root = str(tmp_path)
+    snapshots.write_snapshot(rows("id int", (1,)), root, "t", T1)
+    snapshots.write_snapshot(rows("id int", (2,)), root, "t", T2)
+    (tmp_path / "t" / "run_ts=20240102_000000" / "_SUCCESS").unlink()
+    assert collect(snapshots.read_latest(spark, root, "t")) == [(1,)]
+    assert collect(snapshots.read_latest(spark, root, "t", require_success=False)) == [(2,)]
+
+
+def test_bare_stamps_flat_folders_and_absence(spark, rows, tmp_path):
+    root = str(tmp_path)
+    df = rows("id int", (1,))
+    df.write.parquet(f"{root}/bare/20240101_000000")
+    df.selectExpr("id + 1 AS id").write.parquet(f"{root}/bare/20240103_000000")
+    assert collect(snapshots.read_latest(spark, root, "bare")) == [(2,)]
+    df.write.parquet(f"{root}/flat")
+    assert collect(snapshots.read_latest(spark, root, "flat", allow_flat=True)) == [(1,)]
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_latest(spark, root, "flat")
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_latest(spark, root, "nothing")
+
+
+def test_empty_snapshot_counts_zero(spark, rows, tmp_path):
+    assert snapshots.write_snapshot(rows("id int"), str(tmp_path), "t", T1).rows == 0
+
+
+def test_csv_quotes_breaks_missing_markers_and_header_order(spark, tmp_path):
+    Path(tmp_path / "bookings.csv").write_text(
+        'total_price,id,user_id,booking_date,booking_status,num_guests,note\n'
+        '10.5,1,7,2024-01-02 00:00:00,"said ""yes"",\nreally",2.0,x\n'
+        'NaN,2,8,2024-01-03,N/A,,None\n'
+    )
+    out = csv.read_seed(spark, str(tmp_path), "bookings")
+    assert collect(out.select("id", "user_id", "total_price", "booking_status", "num_guests", "currency", "note"), "id") == [
+        (1, 7, 10.5, 'said "yes",\nreally', 2, "USD", "x"), (2, 8, None, None, None, "USD", None)]
+    assert out.first().booking_date == datetime(2024, 1, 2)
+
+
+def test_json_rows(spark):
+    df = spark.createDataFrame(
+        [(1, T1, datetime(2024, 1, 1, 0, 0, 0, 250), date(2024, 1, 2), Decimal("1.50"), None, "ü\"")],
+        "a int, t timestamp, u timestamp, d date, m decimal(5,2), n string, s string")
+    assert json.loads(rows_to_json(df).first().json) == {
+        "a": 1, "t": "2024-01-01T02:03:04", "u": "2024-01-01T00:00:00.000250", "d": "2024-01-02",
+        "m": 1.5, "n": None, "s": "ü\""}
+
+
+def test_jdbc_options():
+    bounds = jdbc.Bounds("id", 1, 900, 8)
+    got = jdbc.read_options("jdbc:x", {"user": "u", "driver": "d"}, "bookings", bounds=bounds)
+    assert got == {"fetchsize": "10000", "user": "u", "driver": "d", "url": "jdbc:x", "dbtable": "bookings",
+                   "partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "8"}
+    assert jdbc.read_options("jdbc:x", {}, query="SELECT 1")["query"] == "SELECT 1"
+    for bad in ({}, {"table": "t", "query": "q"}, {"query": "q", "bounds": bounds}):
+        with pytest.raises(ValueError):
+            jdbc.read_options("jdbc:x", {}, **bad)
+    assert jdbc.bounds_query("t", "id") == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM t"
+    write = jdbc.write_options("jdbc:x", "presentation.t", {"batchsize": "5"})
+    assert (write["truncate"], write["batchsize"], write["dbtable"]) == ("true", "5", "presentation.t")
+
+
+def test_layers_refresh_and_clip(spark, rows, tmp_path):
+    names = schemas.create_layers(spark, "tl_", str(tmp_path))
+    assert len(names) == 14 and schemas.create_layers(spark, "tl_", str(tmp_path)) == names
+    df = rows("id long, title string, price double, extra int", (1, "x" * 300, 2.0, 9), (2, "日" * 90, 3.0, 9))
+    for _ in range(2):  # a second load replaces the first
+        audit = tables.refresh_table(df, "apartments", T1, "tl_", arrange=True)
+        assert audit.rows == 2
+    stored = tables.warehouse_sql(spark, "SELECT * FROM tl_raw_data.apartments")
+    assert stored.columns == schemas.TABLES["apartments"].schema.names
+    assert collect(stored.selectExpr("octet_length(title)", "etl_inserted_at"), "octet_length(title)") == [
+        (255, T1), (255, T1)]
+    with pytest.raises(Exception):
+        tables.warehouse_sql(spark, "SELECT * FROM tl_raw_data.nothing")
+
+
+def test_activity_table_is_partitioned_by_kind(spark, rows, tmp_path):
+    schemas.create_layers(spark, "tp_", str(tmp_path))
+    df = rows("activity_id long, user_id long, activity_type string, activity_date timestamp",
+              (1, 1, "viewing", T1), (2, 1, "booking", T2))
+    tables.refresh_table(df, "curated_user_activity", T1, "tp_")
+    table = spark.table("tp_curated.curated_user_activity")
+    assert collect(table.where("activity_type = 'booking'").select("activity_id")) == [(2,)]
+    plan = table.where("activity_type = 'booking'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(activity_type" in plan
+
+
+def test_report_order(spark, rows, tmp_path):
+    schemas.create_layers(spark, "tr_", str(tmp_path))
+    weekly = synthetic.popular_locations(spark, seed=5)
+    tables.refresh_table(weekly, "pres_popular_locations_weekly", T1, "tr_", arrange=True)
+    got = [(r.week_start_date, -r.total_bookings) for r in
+           tables.report_table(spark, "pres_popular_locations_weekly", "tr_").collect()]
+    assert got == sorted(got) and len(got) == 60
+
+
+def test_replace_table_and_bucketed_join_without_shuffle(spark, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tb_seed")
+    for data in ([(1, "a")], [(k % 3, str(k)) for k in range(30)]):
+        audit = tables.replace_table(rows("k int, v string", *data), "tb_seed.t")
+    assert audit.rows == 30 and spark.table("tb_seed.t").count() == 30
+    for name in ("l", "r"):
+        tables.write_bucketed(spark.table("tb_seed.t"), f"tb_seed.{name}", "k", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("tb_seed.l").join(spark.table("tb_seed.r").select("k"), "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tables.spread_evenly(spark.table("tb_seed.t"), 3).rdd.getNumPartitions() == 3
+
+
+def test_synthetic_ranges(spark):
+    weekly = synthetic.weekly_performance(spark).collect()
+    assert [r.week_start_date for r in weekly][0] == date(2023, 1, 1) and len(weekly) == 12
+    assert all(r.week_start_date.weekday() == 6 for r in weekly)
+    assert all(100 <= r.total_active_listings < 500 and 40 <= r.occupancy_rate < 90 for r in weekly)
+    places = synthetic.popular_locations(spark).collect()
+    assert len(places) == 60 and {(r.city, r.state) for r in places} >= {("Miami", "FL")}
+    tops = synthetic.top_listings(spark).collect()
+    assert len(tops) == 120 and {r.title for r in tops} >= {"Luxury Apartment 10"}
+    assert all(1 <= r.total_bookings < 10 and r.city in synthetic.CITIES for r in tops)
+    assert len(synthetic.user_engagement(spark).collect()) == 12
+    users = synthetic.user_booking_history(spark)
+    assert users.count() == 240 and 0 < users.where("is_repeat_customer").count() < 240
+    assert collect(users, "user_id", "week_start_date") == collect(
+        synthetic.user_booking_history(spark), "user_id", "week_start_date")  # seeded
+
+
+def test_scratch_follows_the_cluster_setting(spark, rows):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(root)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert collect(materialize(rows("a int", (1,)), "m")) == [(1,)]
