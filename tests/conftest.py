@@ -14,11 +14,12 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("hostelry-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.driver.memory", "6g")
+        .config("spark.default.parallelism", "2")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
