@@ -450,6 +450,9 @@ SELECT row_number() OVER (ORDER BY activity_date NULLS FIRST, activity_type, sou
             ["top_listings"], "SELECT * FROM top_listings"
         ),
         "user_engagement_weekly": _with(["engagement"], "SELECT * FROM engagement"),
+        "weekly_active_users": _with(["activity"], """
+SELECT CAST(date_trunc('week', activity_date) AS DATE) AS week_start_date,
+  count(DISTINCT user_id) AS active_users FROM activity GROUP BY ALL"""),
         "user_booking_history": _with(["history"], "SELECT * FROM history"),
         "price_summary": _summary("performance", "avg_listing_price"),
         "price_summary_display": _with([], f"""
@@ -549,6 +552,13 @@ WHERE id NOT IN (SELECT apartment_id FROM bookings) GROUP BY id"""),
         "type_conformance": _with(["bookings"], "SELECT * FROM bookings"),
         "lost_values": _lost_values(),
         "profile_columns": _profile(),
+        "numeric_summary": _with(["bookings"], "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 6) AS mean, "
+            f"round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+            f"CAST(max({c}) AS DOUBLE) AS max FROM bookings"
+            for c in ("id", "user_id", "num_guests", "total_price")
+        )),
+        "first_bookings": _with(["bookings"], "SELECT * FROM bookings ORDER BY id LIMIT 10"),
         "row_count": _with(["bookings"], "SELECT count(*) AS n_rows FROM bookings"),
         "truncate_columns": """
 SELECT doc_id, CASE WHEN strlen(text) <= 255 THEN text ELSE left(text, list_max(list_filter(
@@ -575,6 +585,13 @@ FROM bookings b LEFT JOIN apartments a ON a.id = b.apartment_id"""),
             for t in SOURCE_TABLES
         )),
         "pipeline_e2e": _with(["engagement"], "SELECT * FROM engagement"),
+        "csv_seed": _with(list(SOURCE_TABLES), "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in SOURCE_TABLES
+        )),
+        "sorted_table_range": _with(["bookings"], """
+SELECT id, apartment_id, booking_date, total_price FROM bookings
+WHERE booking_date >= TIMESTAMP '1998-05-31 00:00:00'
+  AND booking_date < TIMESTAMP '1998-07-01 00:00:00'"""),
         "bucketed_join": _with(["bookings", "apartment_attributes"], """
 SELECT apartment_id, cityname, count(*) AS n_bookings,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS spend

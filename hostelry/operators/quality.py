@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import Table
 
@@ -140,5 +141,22 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+def numeric_summary(df: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and approximate quartiles per numeric column."""
+    entries = []
+    for f in df.schema:
+        if isinstance(f.dataType, T.NumericType):
+            value = F.col(f.name).cast("double")
+            entries.append(
+                F.struct(
+                    F.lit(f.name).alias("column"), F.count(value).alias("n"),
+                    F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+                    F.min(value).alias("min"), F.max(value).alias("max"),
+                    *[F.percentile_approx(value, q).alias(f"p{q * 100:.0f}") for q in (0.25, 0.5, 0.75)],
+                )
+            )
+    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -26,6 +26,11 @@ def latest_top_k(df: DataFrame, period: str, order: Sequence[Column], k: int) ->
     return head.withColumn("_newest", newest).where(F.col(period) == F.col("_newest")).drop("_newest")
 
 
+def first_rows(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in a stated order, so that the answer is repeatable."""
+    return df.orderBy(*order).limit(n)
+
+
 def top_totals(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
     """The ``k`` keys with the largest summed value, ties by key."""
     totals = df.groupBy(key).agg(F.sum(value).alias("total"))

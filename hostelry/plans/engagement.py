@@ -75,6 +75,16 @@ def user_engagement(
     )
 
 
+def weekly_active_users(
+    activity: DataFrame, week_start: str = "MON", approx: bool = False
+) -> DataFrame:
+    """Different users with any activity per week, exact or as a sketch."""
+    week = period_start(F.col("activity_date"), "week", week_start)
+    users = F.approx_count_distinct("user_id") if approx else F.countDistinct("user_id")
+    known = activity.where(F.col("activity_date").isNotNull())
+    return known.groupBy(week.alias("week_start_date")).agg(users.alias("active_users"))
+
+
 def favorite_cities(bookings: DataFrame, details: DataFrame, week_start: str = "MON") -> DataFrame:
     """Most booked city per (user, week), ties by name.
 

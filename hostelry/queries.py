@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from .functions.columns import city_label, fixed_decimals, period_start
 from .operators import curated, enrich, quality
 from .operators.conform import conform, lost_values, truncate_columns
 from .operators.periods import booked_nights, latest, lookback
+from .operators.ranking import first_rows
 from .operators.repeat import rolling_repeat
 from .plans import engagement, insights, jobs, kpis, rental
 from .schemas import SOURCE_TABLES, TABLES, create_layers, qualified
@@ -143,7 +144,7 @@ def _dq_unique(d: Data) -> DataFrame:
         quality.unique_key(d.base("lineitem"), ["l_orderkey", "l_linenumber"]),
         quality.unique_key(d.base("orders"), ["o_custkey"], "unique"),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _dq_fk_orphans(d: Data) -> DataFrame:
@@ -155,10 +156,7 @@ def _dq_fk_orphans(d: Data) -> DataFrame:
         # Listings that nobody booked, seen as keys without a booking.
         quality.foreign_key(listings, "id", d.raw("bookings"), "apartment_id"),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _unbooked_listings(d: Data) -> DataFrame:
@@ -254,6 +252,34 @@ def _pipeline_e2e(d: Data) -> DataFrame:
     return report_table(d.spark, "pres_user_engagement_weekly", prefix)
 
 
+def _csv_seed(d: Data) -> DataFrame:
+    """Seed files to source tables, with the row count of each."""
+    folder = scratch_path(d.spark, "seed")
+    for table, name in CSV_FILES.items():
+        d.raw(table).write.option("escape", '"').csv(f"{folder}/{name}", header=True)
+    database = f"q{uuid.uuid4().hex[:12]}_source"
+    jobs.require_ok("seed", jobs.seed_from_csv(d.spark, folder, database))
+    counts = [
+        quality.row_count(d.spark.table(f"{database}.{t}")).select(F.lit(t).alias("table"), "n_rows")
+        for t in SOURCE_TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _sorted_table_range(d: Data) -> DataFrame:
+    """A date range of a table whose files are ordered by date."""
+    prefix = _own_layers(d)
+    refresh_table(d.raw("bookings"), "bookings", AS_OF, prefix, arrange=True)
+    stored = lookback(d.spark.table(qualified("bookings", prefix)), "booking_date", LOOKBACK_AS_OF,
+                      LOOKBACK_DAYS)
+    return stored.select("id", "apartment_id", "booking_date", "total_price")
+
+
+def _numeric_summary(d: Data) -> DataFrame:
+    numbers = d.raw("bookings").select("id", "user_id", "num_guests", "total_price")
+    return quality.numeric_summary(numbers).select("column", "n", "mean", "std", "min", "max")
+
+
 def _bucketed_join(d: Data) -> DataFrame:
     """Spend per listing over two tables bucketed on the listing: no shuffle to join."""
     prefix = _own_layers(d)
@@ -294,6 +320,7 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "popular_locations_weekly": lambda d: rental.popular_locations(*d.places),
     "top_listings_weekly": lambda d: rental.top_listings(*d.places),
     "user_engagement_weekly": lambda d: d.engagement(),
+    "weekly_active_users": lambda d: engagement.weekly_active_users(d.activity),
     "user_booking_history": lambda d: d.history(),
     "price_summary": lambda d: insights.price_summary(d.performance()),
     "price_summary_display": _price_display,
@@ -339,6 +366,8 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     ),
     "lost_values": _lost_values,
     "profile_columns": lambda d: quality.profile(d.raw("apartment_attributes")),
+    "numeric_summary": _numeric_summary,
+    "first_bookings": lambda d: first_rows(d.raw("bookings"), ["id"], 10),
     "row_count": lambda d: quality.row_count(d.raw("bookings")),
     "truncate_columns": lambda d: truncate_columns(_titled_documents(d), {"title": TITLE_BYTES}),
     "latest_period_filter": _latest_period_filter,
@@ -350,7 +379,9 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "csv_roundtrip": _csv_roundtrip,
     "load_audit": _load_audit,
     "pipeline_e2e": _pipeline_e2e,
+    "csv_seed": _csv_seed,
     "bucketed_join": _bucketed_join,
+    "sorted_table_range": _sorted_table_range,
 }
 
 
@@ -360,7 +391,7 @@ ROUNDED = {
     "rental_performance_weekly", "rental_performance_monthly", "price_summary",
     "occupancy_summary", "corr_occupancy_revenue", "bookings_per_user_summary",
     "booking_count_distribution", "booking_histogram", "booking_histogram_all_weeks",
-    "booking_kde", "booking_kde_all_weeks", "duration_summary", "corr_duration_spend",
+    "booking_kde", "booking_kde_all_weeks", "numeric_summary", "duration_summary", "corr_duration_spend",
     "repeat_rate_summary", "repeat_vs_onetime", "activity_rate", "avg_activity_rate",
 }
 
