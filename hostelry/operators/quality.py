@@ -6,6 +6,7 @@ Every check returns (check, column, violations, rows) for one table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,9 +112,7 @@ def report(
 ) -> DataFrame:
     """One row per check: violations, rate and whether the threshold holds."""
     parts = [check_table(df, tables[name], frames) for name, df in frames.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    result = reduce(DataFrame.unionByName, parts)
     limit = F.lit(float(default_threshold))
     for check, value in (thresholds or {}).items():
         limit = F.when(F.col("check") == check, F.lit(float(value))).otherwise(limit)
