@@ -11,7 +11,7 @@ def _days(n: int) -> Column:
     return F.expr(f"interval {int(n)} days")
 
 
-def rolling_counts(bookings: DataFrame, days: int = 30, chunk: str = "minute") -> DataFrame:
+def rolling_counts(bookings: DataFrame, days: int = 30, chunk: str = "hour") -> DataFrame:
     """Bookings of the same user in ``[t - days, t]``, per (user, booking time).
 
     The count at t is (bookings up to t) minus (bookings that left the window

@@ -244,3 +244,9 @@ def test_latest_week_and_activity_rate(rows):
     assert insights.latest_week(df).count() == 1
     assert [r.activity_rate for r in insights.activity_rate(df).orderBy("week_start_date").collect()] == [25.0, 0.0]
     assert insights.average_activity_rate(df).first()[0] == 12.5
+
+
+def test_weekly_active_users_exact_and_sketch(world):
+    exact = collect(engagement.weekly_active_users(world[2]), "week_start_date")
+    assert exact == [(MON, 2), (MON + timedelta(days=7), 4)]
+    assert collect(engagement.weekly_active_users(world[2], approx=True), "week_start_date") == exact

@@ -55,3 +55,11 @@ def test_profile(rows):
     df = rows("a int, b string", (1, None), (None, None))
     assert collect(quality.profile(df), "position") == [(1, "a", "int", 1, 2), (2, "b", "string", 0, 2)]
     assert quality.row_count(df).first().n_rows == 2
+
+
+def test_numeric_summary(rows):
+    df = rows("a int, b string, c double", (1, "x", 1.0), (2, "y", None), (3, None, 3.0))
+    got = {r["column"]: r for r in quality.numeric_summary(df).collect()}
+    assert set(got) == {"a", "c"}
+    assert (got["a"].n, got["a"].mean, got["a"].std, got["a"].min, got["a"].max, got["a"].p50) == (3, 2.0, 1.0, 1.0, 3.0, 2.0)
+    assert got["c"].n == 2
