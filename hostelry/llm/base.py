@@ -15,8 +15,13 @@ BATCH_ROWS = 1000
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """The session with the settings the Python stages rely on."""
+    """The session with the settings these operators rely on.
+
+    Bounded Arrow batches, and shuffle files that go when a stored step has been
+    written, so that an operator of many steps needs the disk of its largest one.
+    """
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -50,7 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: later passes survive lost executors without recomputing, and
     ids made by ``numbered`` stay as they were written.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(session(df.sparkSession), name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -8,29 +8,29 @@ from pyspark.sql import functions as F
 from .base import stored
 
 
-def _with_least_neighbour(edges: DataFrame) -> DataFrame:
+def _with_least_neighbour(edges: DataFrame, name: str) -> DataFrame:
     """Edges (u, v) with the least of u and all its neighbours as ``m``.
 
-    The least neighbour is a partial aggregate, and the join back is a plain join
-    whose large partitions adaptive execution splits, so a node with very many
-    neighbours is no single task's work.
+    The least neighbour is a partial aggregate.  It is written first, so that the join
+    back is one of two shuffled tables, whose large partitions adaptive execution
+    splits: a node with very many neighbours is no single task's work.
     """
-    least = edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("lowest"))
+    least = stored(edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("lowest")), name)
     joined = edges.join(least, edges["u"] == least["w"])
     return joined.select("u", "v", F.least("u", "lowest").alias("m"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, name: str) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = _with_least_neighbour(both).where("v > u")
+    linked = _with_least_neighbour(both, name).where("v > u")
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, name: str) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    linked = _with_least_neighbour(down)
+    linked = _with_least_neighbour(down, name)
     moved = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.union(linked.select("u", F.col("m").alias("v"))).distinct()
 
@@ -50,7 +50,8 @@ def connected_components(edges: DataFrame, name: str = "edges") -> DataFrame:
     mark = _mark(current)
     while mark[0]:
         step += 1
-        current = stored(_small_star(_large_star(current)), f"{name}-{step}")
+        current = stored(_large_star(current, f"{name}-{step}-up"), f"{name}-{step}-large")
+        current = stored(_small_star(current, f"{name}-{step}-down"), f"{name}-{step}")
         before, mark = mark, _mark(current)
         if mark == before and _is_flat(current):
             break

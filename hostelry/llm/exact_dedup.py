@@ -116,7 +116,8 @@ def exact_duplicates(
     """
     named = stored(named_documents(docs, id_column, text_column, block_bytes, hash_bits), "identities")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
-    groups = named.groupBy("level", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
+    # Written first: the lookup is then a join of two shuffled tables, whose large partitions can be split.
+    groups = stored(named.groupBy("level", "name").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     on = (named["level"] == groups["level"]) & (named["name"] == groups["name"])
     return named.join(groups, on).select(
         named["doc_id"],
