@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hostelry.llm.base import stored, table
 from hostelry.llm.exact_dedup import drop_exact_duplicates
+from hostelry.llm.packing import pack_documents
+from hostelry.llm.queries import VOCABULARY
 from hostelry.llm.simhash import drop_near_duplicates
+from hostelry.llm.suffix_dedup import drop_repeats
+from hostelry.llm.toxicity import drop_toxic
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier, trained on their labels, does not reject."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,12 +28,25 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_near_duplicates(docs)
 
 
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the long strings that occur elsewhere."""
+    return drop_repeats(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their training sequences."""
+    return pack_documents(docs, VOCABULARY)
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
     ("simhash_dedup", simhash_stage),
+    ("suffix_dedup", suffix_stage),
+    ("packing", packing_stage),
 ]
 
-# Suffix ranks, trained models and packing are not expressible in SQL.
+# A trained classifier, byte strings and tokens are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 

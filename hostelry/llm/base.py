@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,11 +24,29 @@ def session(spark: SparkSession) -> SparkSession:
     Bounded Arrow batches, and shuffle files that go when a stored step has been
     written, so that an operator of many steps needs the disk of its largest one.
     """
+    _ship_package(spark)
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application: their Python imports it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as code:
+        for source in sorted(package.rglob("*.py")):
+            code.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One whole table of a data folder."""
     return session(spark).read.parquet(f"{folder}/{name}.parquet")
@@ -49,6 +71,11 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(whole_text(column))
 
 
+def fold(id_column: str, folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

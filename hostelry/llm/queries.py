@@ -11,10 +11,13 @@ from .base import table
 from .bpe_codec import codec_digests
 from .embedding_dedup import embedding_duplicates
 from .exact_dedup import exact_duplicates
+from .language_id import language_id
 from .line_dedup import line_dedup
+from .packing import pack_documents
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -24,6 +27,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), VOCABULARY)
+
+
 def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_duplicates(table(spark, folder, "embeddings"))
 
@@ -36,6 +43,14 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents")).drop("id_key", "text_key")
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id(table(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), VOCABULARY)
 
@@ -50,8 +65,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
-        op1_exact_dedup, op3_embedding_dedup, op4_bpe_codec, op5_suffix_dedup,
-        op8_token_counts, op9_simhash_dedup, op10_line_dedup,
+        op1_exact_dedup, op2_packing, op3_embedding_dedup, op4_bpe_codec, op5_suffix_dedup,
+        op6_toxicity, op7_language_id, op8_token_counts, op9_simhash_dedup, op10_line_dedup,
     ]
     return {f.__name__: f for f in listed}
 

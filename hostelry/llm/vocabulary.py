@@ -17,7 +17,7 @@ _WORD = regex.compile(PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\
 
 # Libraries differ in their Unicode version on other code points, most of them unassigned.
 # Texts with one of those are cut by the tokenizer library itself.
-_OTHER = re.compile("[^\x00-\u052F\u2000-\u2070\u2100-\uA7CD\uAC00-\uD7A3\U0001F300-\U0001F6FF]")
+OTHER_CODE_POINTS = re.compile("[^\x00-\u052F\u2000-\u2070\u2100-\uA7CD\uAC00-\uD7A3\U0001F300-\U0001F6FF]")
 
 NO_MERGE = np.iinfo(np.int64).max
 
@@ -80,7 +80,7 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The text cut into special tokens and words; joined they are the text."""
-        cut = self._cut_by_library if _OTHER.search(text) else _WORD.findall
+        cut = self._cut_by_library if OTHER_CODE_POINTS.search(text) else _WORD.findall
         if self._special is None or not self._special.search(text):
             return cut(text)
         out: list[str] = []
