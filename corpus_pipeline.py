@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hostelry.llm.base import stored, table
 from hostelry.llm.exact_dedup import drop_exact_duplicates
@@ -29,8 +30,8 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the long strings that occur elsewhere."""
-    return drop_repeats(docs)
+    """All documents, without the long strings that occur elsewhere; n_chars counts what is left."""
+    return drop_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,17 +15,23 @@ from .base import fold, stored, whole_text
 ORDERS = (1, 2, 3)  # lengths of the n-grams of the blended spectrum
 BINS = 1 << 15  # n-grams are hashed into so many presence flags
 TRAINING_ROWS = 4000  # training rows of all languages together, at most about
-LANDMARKS = 240  # of those, the rows that span the model
+SEGMENT = 1024  # code points of the parts in which a text is read, at most
+LANDMARKS = 160  # of those, the rows that span the model
 RIDGE = 1e-4
 FOLDS, HELD_OUT = 4, 2
 MINI_BATCH = 64
 UNKNOWN = "und"
 
 
-def presence(text: str) -> np.ndarray:
-    """Which hashed n-grams of code points the whole lower-cased text holds."""
-    flags = np.zeros(BINS, bool)
+def segments(text: str) -> list[np.ndarray]:
+    """The code points of the whole lower-cased text in equal parts."""
     points = np.frombuffer(text.lower().encode("utf-32-le", errors="surrogatepass"), "<u4")
+    return np.array_split(points, max(1, -(-len(points) // SEGMENT)))
+
+
+def presence(points: np.ndarray) -> np.ndarray:
+    """Which hashed n-grams the code points hold."""
+    flags = np.zeros(BINS, bool)
     rolled = np.zeros(len(points), np.uint32)
     with np.errstate(over="ignore"):
         for order in range(1, max(ORDERS) + 1):
@@ -58,17 +64,32 @@ class Model:
     sizes: np.ndarray
     weights: np.ndarray
 
+    def values(self, flags: np.ndarray) -> np.ndarray:
+        shared = flags[:, self.bins].astype(np.float32) @ self.landmarks.T
+        return (shared / np.sqrt(np.outer(np.maximum(1, flags.sum(axis=1)), self.sizes))) @ self.weights
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The language of the highest mean value over the parts of each text, and that value."""
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        readable = [i for i, t in enumerate(texts) if self.languages and has_letter(t)]
-        for start in range(0, len(readable), MINI_BATCH):
-            part = readable[start : start + MINI_BATCH]
-            flags = np.stack([presence(texts[i]) for i in part])
-            shared = flags[:, self.bins].astype(np.float32) @ self.landmarks.T
-            values = (shared / np.sqrt(np.outer(np.maximum(1, flags.sum(axis=1)), self.sizes))) @ self.weights
-            for i, row in zip(part, values):
-                best = int(row.argmax())
-                names[i], scores[i] = self.languages[best], min(1.0, max(0.0, float(row[best])))
+        totals, counts = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        waiting: list[tuple[int, np.ndarray]] = []
+
+        def score() -> None:
+            owners = [i for i, _ in waiting]
+            np.add.at(totals, owners, self.values(np.stack([f for _, f in waiting])))
+            np.add.at(counts, owners, 1)
+            waiting.clear()
+
+        for i, text in enumerate(texts):
+            for points in segments(text) if self.languages and has_letter(text) else []:
+                waiting.append((i, presence(points)))
+                if len(waiting) == MINI_BATCH:
+                    score()
+        if waiting:
+            score()
+        for i in np.flatnonzero(counts):
+            best = int(totals[i].argmax())
+            names[i], scores[i] = self.languages[best], min(1.0, max(0.0, float(totals[i, best] / counts[i])))
         return names, scores
 
 
@@ -98,8 +119,9 @@ def train(
     """A model from rows outside the held-out fold with a language and a letter in the text.
 
     Fitted on a sample of about ``rows`` rows, the same number of each language as far
-    as they go.  Rows are taken by a hash of the id, so the sample spreads over the
-    table; what comes to the driver is a bit per n-gram bin and row.
+    as they go, with one part of each text.  Rows and parts are taken by a hash, so the
+    sample spreads over the table and the texts; what comes to the driver is a bit per
+    n-gram bin and row.
     """
     usable = docs.select(
         F.col(id_column).cast("long").alias("id"), F.col(lang_column).alias("lang"), whole_text(text_column).alias("text")
@@ -114,7 +136,9 @@ def train(
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[[has_letter(t) for t in batch.text]]
-            yield pd.DataFrame({"draw": batch.draw, "lang": batch.lang, "flags": [np.packbits(presence(t)).tobytes() for t in batch.text]})
+            parts = [segments(t) for t in batch.text]
+            flags = [np.packbits(presence(p[d % len(p)])).tobytes() for p, d in zip(parts, batch.draw)]
+            yield pd.DataFrame({"draw": batch.draw, "lang": batch.lang, "flags": flags})
 
     sample = stored(picked.mapInPandas(read, "draw long, lang string, flags binary"), "sample").orderBy("draw", "lang", "flags").collect()
     if not sample:
@@ -129,9 +153,11 @@ def language_id(
 ) -> DataFrame:
     """One row per document row: doc_id, held_out, lang_pred, score (0 to 1).
 
-    Predictions depend on the text alone; a text without a letter, null included, is
-    ``und`` with score 0, as is every text where no language can be learned.  Rows with one doc_id are
-    predicted each; an empty table gives no rows; other columns are not read.
+    Predictions depend on the whole text alone, read in parts of bounded length whose
+    values are averaged, so a quotation in another language counts by its length.  A
+    text without a letter, null included, is ``und`` with score 0, as is every text
+    where no language can be learned.  Rows with one doc_id are predicted each; an
+    empty table gives no rows; other columns are not read.
     """
     model = train(docs, id_column, text_column, lang_column, rows, landmarks, ridge)
 

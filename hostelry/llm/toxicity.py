@@ -19,7 +19,7 @@ MIN_ROWS = 3  # training rows in which a feature must occur
 MIN_CHI2 = 15.0  # association with the label below which a feature is taken for chance
 SWAP_WEIGHT = 10.0
 RIDGE = 1e-4
-STEPS = 600
+STEPS = 300
 FOLDS, HELD_OUT = 5, 0
 KNOWN_WORDS = 200_000  # words a task remembers; when reached it starts over
 PREFIXES = (4, 5, 6)
@@ -127,8 +127,39 @@ def _rows_of(sets: list, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sets)), sizes), np.array([c for s in sets for c in s], np.int64)
 
 
+def _minimise(slope_of, x: np.ndarray, steps: int) -> np.ndarray:
+    """Limited-memory quasi-Newton descent; slope_of gives value and gradient."""
+    value, slope = slope_of(x)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way, factors = slope.copy(), []
+        for move, bend in reversed(moves):
+            factors.append((move @ way) / (move @ bend))
+            way -= factors[-1] * bend
+        if moves:
+            move, bend = moves[-1]
+            way *= (move @ bend) / (bend @ bend)
+        for (move, bend), factor in zip(moves, reversed(factors)):
+            way += (factor - (bend @ way) / (move @ bend)) * move
+        step, descent = 1.0, slope @ way
+        while True:
+            x_new = x - step * way
+            value_new, slope_new = slope_of(x_new)
+            if value_new <= value - 1e-4 * step * descent or step < 1e-8:
+                break
+            step /= 2
+        move, bend = x_new - x, slope_new - slope
+        settled = value - value_new <= 1e-10 * max(1.0, abs(value))
+        x, value, slope = x_new, value_new, slope_new
+        if settled:
+            break
+        if move @ bend > 1e-12:
+            moves = [*moves[-9:], (move, bend)]
+    return x
+
+
 def fit(own: list[list[int]], swapped: list[list[int] | None], toxic: np.ndarray, width: int, swap_weight: float) -> tuple[float, np.ndarray]:
-    """Bias and weights by accelerated gradient steps on
+    """Bias and weights that minimise
 
     mean log-loss with both classes weighing the same + RIDGE |w|^2
     + swap_weight * mean (w . (swapped features - own features))^2 over rows with a swap.
@@ -138,25 +169,21 @@ def fit(own: list[list[int]], swapped: list[list[int] | None], toxic: np.ndarray
     pair_at, pair_feature = _rows_of([a + b for a, b in pairs], width)
     sign = np.concatenate([np.r_[-np.ones(len(a)), np.ones(len(b))] for a, b in pairs] + [np.empty(0)])
     weight = np.where(toxic == 1, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (1 - toxic).sum()))
-    # The curvature is at most a quarter of the weighted squared row length, plus the penalties'.
-    lengths = np.bincount(at, minlength=len(own)) + 1
-    pair_lengths = np.bincount(pair_at, minlength=len(pairs)) if pairs else np.zeros(1)
-    step = 1 / (0.25 * (weight * lengths).sum() + 2 * RIDGE + 2 * swap_weight * (pair_lengths.max() if pairs else 0))
-    w, bias = np.zeros(width), 0.0
-    w_ahead, bias_ahead, momentum = w.copy(), bias, 1.0
-    for _ in range(STEPS):
-        odds = bias_ahead + np.bincount(at, w_ahead[feature], minlength=len(own))
-        error = weight * (1 / (1 + np.exp(-np.clip(odds, -40, 40))) - toxic)
-        slope = np.bincount(feature, error[at], minlength=width) + 2 * RIDGE * w_ahead
+
+    def slope_of(x: np.ndarray) -> tuple[float, np.ndarray]:
+        bias, w = x[0], x[1:]
+        odds = bias + np.bincount(at, w[feature], minlength=len(own))
+        loss = weight @ (np.logaddexp(0, odds) - toxic * odds) + RIDGE * (w @ w)
+        error = weight * (1 / (1 + np.exp(-np.clip(odds, -700, 700))) - toxic)
+        slope = np.bincount(feature, error[at], minlength=width) + 2 * RIDGE * w
         if pairs:
-            change = np.bincount(pair_at, sign * w_ahead[pair_feature], minlength=len(pairs))
+            change = np.bincount(pair_at, sign * w[pair_feature], minlength=len(pairs))
+            loss += swap_weight * (change @ change) / len(pairs)
             slope += 2 * swap_weight / len(pairs) * np.bincount(pair_feature, sign * change[pair_at], minlength=width)
-        w_new, bias_new = w_ahead - step * slope, bias_ahead - step * error.sum()
-        momentum_new = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        gain = (momentum - 1) / momentum_new
-        w_ahead, bias_ahead = w_new + gain * (w_new - w), bias_new + gain * (bias_new - bias)
-        w, bias, momentum = w_new, bias_new, momentum_new
-    return float(bias), w
+        return loss, np.r_[error.sum(), slope]
+
+    x = _minimise(slope_of, np.zeros(width + 1), STEPS)
+    return float(x[0]), x[1:]
 
 
 def train(
