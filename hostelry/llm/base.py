@@ -18,14 +18,14 @@ BLANKS = r"[\x20\x09-\x0D]"
 BATCH_ROWS = 1000
 
 
-def session(spark: SparkSession) -> SparkSession:
+def session(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     """The session with the settings these operators rely on.
 
-    Bounded Arrow batches, and shuffle files that go when a stored step has been
+    Bounded Arrow batches (of more rows where a step passes only short ones), and shuffle files that go when a stored step has been
     written, so that an operator of many steps needs the disk of its largest one.
     """
     _ship_package(spark)
-    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
@@ -76,15 +76,26 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: later passes survive lost executors without recomputing, and
     ids made by ``numbered`` stay as they were written.
     """
-    path = scratch_path(session(df.sparkSession), name)
+    path = scratch_path(session(df.sparkSession, batch_rows), name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    session(df.sparkSession)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.stored_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for table_ in tables:
+        context = table_.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table_.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import id_key, numbered, stored, text_key, whole_text
+from .base import discard, id_key, numbered, stored, text_key, whole_text
 
 LENGTH = 400
 GAP = 160  # positions in which at least one is an anchor
@@ -62,7 +62,7 @@ def _anchors(data: bytes, gap: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap: int) -> DataFrame:
-    """Per document of at least ``length`` bytes: docno, keys, n, anchors x, their first stretch lo, and phrase hashes."""
+    """Per document of at least ``length`` bytes: docno, keys, size, anchors x, their first stretch lo, and phrase hashes."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -76,125 +76,186 @@ def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap
                 digests = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(ends, ends[1:])])
                 halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
                 rows.append((row.docno, row.id_key, row.text_key, len(data), x.astype(np.int32), lo.astype(np.int32), halves[:, 0], halves[:, 1]))
-            yield pd.DataFrame(rows, columns=["docno", "id_key", "text_key", "n", "x", "lo", "f1", "f2"])
+            yield pd.DataFrame(rows, columns=["docno", "id_key", "text_key", "size", "x", "lo", "f1", "f2"])
 
     source = docs.select(
         F.monotonically_increasing_id().alias("docno"), id_key(id_column).alias("id_key"),
         text_key(text_column).alias("text_key"), whole_text(text_column).alias("text"),
     )
-    schema = "docno long, id_key long, text_key long, n long, x array<int>, lo array<int>, f1 array<long>, f2 array<long>"
+    schema = "docno long, id_key long, text_key long, size long, x array<int>, lo array<int>, f1 array<long>, f2 array<long>"
     return stored(source.mapInPandas(cut, schema), "phrases")
 
 
 def _rank(runs: DataFrame, key: list[str], label: str) -> DataFrame:
-    """The runs whose key occurs again, with the rank of the key as ``name``.
+    """The runs whose key occurs again, with the rank of the key as ``name`` and its count n.
 
-    canon marks one occurrence of each.  Counting is a partial aggregate and the lookup
-    a plain join, so a phrase in very many documents is no single task's work.
+    canon marks one occurrence (two, should the hash of their places agree).  Counting
+    is a partial aggregate and the lookup a plain join, so a phrase in very many
+    documents is no single task's work.
     """
-    first = F.min(F.struct("docno", "i"))
-    groups = runs.groupBy(*[F.col(c).alias(f"k_{c}") for c in key]).agg(F.count("*").alias("n"), first.alias("first"))
-    ranks = numbered(groups.where("n > 1").drop("n"), [f"k_{c}" for c in key], f"ranks-{label}")
+    place = F.xxhash64("docno", "i")
+    groups = runs.groupBy(*[F.col(c).alias(f"k_{c}") for c in key]).agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    ranks = numbered(groups.where("n > 1"), [f"k_{c}" for c in key], f"ranks-{label}")
     condition = F.lit(True)
     for c in key:
         condition = condition & (runs[c] == ranks[f"k_{c}"])
     found = runs.join(ranks.withColumnRenamed("name", "rank"), condition).select(
-        "docno", "i", "x", "y", F.col("rank").alias("name"),
-        ((F.col("docno") == F.col("first.docno")) & (F.col("i") == F.col("first.i"))).alias("canon"),
+        "docno", "i", "x", "y", F.col("rank").alias("name"), "n", (place == F.col("first")).alias("canon"),
     )
-    return stored(found, f"runs-{label}")
+    kept = stored(found, f"runs-{label}")
+    discard(ranks)
+    return kept
 
 
 def _doubled(phrases: DataFrame, length: int, gap: int) -> DataFrame:
-    """docno and ``marks`` (level, i, name, canon): the runs of 2^level phrases from phrase i that occur again."""
+    """docno and the arrays level, i, name, n, canon: the runs of 2^level phrases from phrase i that occur again.
+
+    A run that spans the threshold and a gap grows no more: such runs cover all strings
+    inside a repeated stretch.
+    """
     cut = F.posexplode(F.arrays_zip(
         F.slice("x", 1, F.size("f1")).alias("x"), F.slice("x", 2, F.size("f1")).alias("y"), "f1", "f2"
     )).alias("i", "p")
     runs = _rank(phrases.select("docno", cut).select("docno", "i", "p.*"), ["f1", "f2"], "0")
-    found = [runs.withColumn("level", F.lit(0))]
-    level = 0
+    found = [runs]
     while True:
-        ahead = Window.partitionBy("docno").orderBy("i").rangeBetween(2**level, 2**level)
-        longer = runs.withColumn("then", F.max(F.struct("name", "y")).over(ahead)).where(
-            F.col("then").isNotNull() & (F.col("y") - F.col("x") < length + gap)
-        ).select("docno", "i", "x", F.col("then.y").alias("y"), "name", F.col("then.name").alias("next"))
-        level += 1
-        runs = _rank(longer, ["name", "next"], str(level))
+        step = 2 ** (len(found) - 1)
+        ahead = Window.partitionBy("docno").orderBy("i").rangeBetween(step, step)
+        longer = runs.withColumns({"next": F.max("name").over(ahead), "end": F.max("y").over(ahead)}).where(
+            F.col("next").isNotNull() & (F.col("y") - F.col("x") < length + gap)
+        ).select("docno", "i", "x", F.col("end").alias("y"), "name", "next")
+        pairs = stored(longer, f"pairs-{len(found)}")
+        runs = _rank(pairs, ["name", "next"], str(len(found)))
+        discard(pairs)
         if runs.isEmpty():
             break
-        found.append(runs.withColumn("level", F.lit(level)))
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("docno").agg(F.collect_list(F.struct("level", "i", "name", "canon")).alias("marks"))
+        found.append(runs)
+    every = None
+    for level, runs in enumerate(found):
+        # Longer runs name nothing; they matter where they hold a whole string.
+        of_use = runs if level <= KEY_LEVEL else runs.where(F.col("y") - F.col("x") >= length)
+        one = of_use.select("docno", F.lit(level).alias("level"), "i", "name", "n", "canon")
+        every = one if every is None else every.union(one)
+    marks = stored(_gathered(every), "marks", batch_rows=50_000)
+    discard(*found)
+    return marks
+
+
+def _gathered(marks: DataFrame) -> DataFrame:
+    """One row per document with its marks as arrays; sorted documents are worked through one by one."""
+
+    def rows_of(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts, ignore_index=True)
+        docno = rows.docno.to_numpy()
+        starts = np.flatnonzero(np.r_[True, docno[1:] != docno[:-1]])
+        return pd.DataFrame({"docno": docno[starts]} | {c: np.split(rows[c].to_numpy(), starts[1:]) for c in _MARKS})
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_: list[pd.DataFrame] = []  # rows of the document at the end of what was read
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = int(np.searchsorted(batch.docno.to_numpy(), batch.docno.iat[-1]))
+            if last or open_ and open_[-1].docno.iat[-1] != batch.docno.iat[0]:
+                yield rows_of([*open_, batch.iloc[:last]])
+                open_ = []
+            open_.append(batch.iloc[last:])
+        if open_:
+            yield rows_of(open_)
+
+    schema = "docno long, level array<int>, i array<int>, name array<long>, n array<long>, canon array<boolean>"
+    return marks.repartition("docno").sortWithinPartitions("docno").mapInPandas(gather, schema)
+
+
+_MARKS = ["level", "i", "name", "n", "canon"]
+_LAYOUT = ["size", "x", "lo", *_MARKS]
 
 
 class _Document:
-    """What the ranks say about the strings of one document."""
+    """What the ranks say about the strings of one document of ``size`` bytes."""
 
-    def __init__(self, n: int, x: np.ndarray, lo: np.ndarray, marks: list, length: int, gap: int):
-        self.n, self.x, self.lo, self.length = n, x.astype(np.int64), lo.astype(np.int64), length
+    def __init__(self, size, x, lo, level, i, name, n, canon, length: int, gap: int):
+        self.size, self.x, self.lo, self.length = size, x.astype(np.int64), lo.astype(np.int64), length
         self.reach = length - GRAM - gap + 1  # from the first stretch of a string to its last
-        self.starts = n - length + 1
-        level, i, name, canon = (np.array([m[f] for m in marks]) for f in ("level", "i", "name", "canon"))
-        self.names = []
-        for k in range(KEY_LEVEL + 1):
-            own = np.full(len(x), -1, np.int64)
-            at = level == k
-            own[i[at]] = name[at]
-            self.names.append(own)
+        self.starts = size - length + 1
+        self.level, self.i, self.name, self.n, self.canon = level, i, name, n, canon.astype(bool)
         begin, end = self.x[i], self.x[np.minimum(i + (1 << level), len(x) - 1)]
-        whole = end - begin >= length
-        self.known = self._cover(begin[whole], end[whole] - length)
-        kept = whole & canon.astype(bool)
-        self.shown = self._cover(begin[kept], end[kept] - length)
-
-    def _cover(self, begin: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """The starts from any begin to its last one."""
-        steps = np.zeros(self.starts + 1, np.int64)
-        np.add.at(steps, begin, 1)
-        np.add.at(steps, last + 1, -1)
-        return np.cumsum(steps[:-1]) > 0
+        whole = np.flatnonzero(end - begin >= length)
+        self.runs = begin[whole], end[whole] - length + 1, n[whole], self.canon[whole]
+        self.known = self._cover(*self.runs[:2])
 
-    def stretches(self) -> list[tuple[int, int, int, int, bytes, bool]]:
-        """(s, e, a, b, key, ask): the starts s..e-1 whose strings share the run from anchor a to anchor b.
+    def _cover(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The starts from any begin to before its end."""
+        steps = np.bincount(begin, minlength=self.starts + 1) - np.bincount(end, minlength=self.starts + 1)
+        return np.cumsum(steps[:-1]) > 0
 
-        Only runs of repeated phrases, and only where some start is undecided (ask) or
-        stands for all copies of a known run.
-        """
-        cuts = np.unique(np.r_[0, self.lo, self.lo - self.reach, self.starts])
+    def _stretches(self):
+        """Starts with one run of repeated phrases from anchor i to anchor j, and whether any is undecided."""
+        cuts = np.unique(np.concatenate([[0, self.starts], self.lo, self.lo - self.reach]))
         cuts = cuts[(cuts >= 0) & (cuts <= self.starts)]
         s, e = cuts[:-1], cuts[1:]
         i = np.searchsorted(self.lo, s, "right") - 1
         j = np.searchsorted(self.lo, s + self.reach, "right") - 1
-        lonely = np.r_[0, np.cumsum(self.names[0] < 0)]
+        alone = np.ones(len(self.x) + 1, np.int64)
+        alone[self.i[self.level == 0]] = 0
+        before = np.r_[0, np.cumsum(alone)]
         open_ = np.r_[0, np.cumsum(~self.known)]
-        shown = np.r_[0, np.cumsum(self.shown)]
-        ask = open_[e] > open_[s]
-        use = (lonely[j] == lonely[i]) & (ask | (shown[e] > shown[s]))
+        chained = before[j] == before[i]
+        return [v[chained] for v in (s, e, i, j, open_[e] > open_[s])]
+
+    def promising(self) -> bool:
+        return bool(self.known.any()) or bool(len(self._stretches()[0]))
+
+    def stretches(self) -> list[tuple[int, int, int, int, bytes, bool]]:
+        """(s, e, a, b, key, ask): the starts s..e-1 whose strings share the run from anchor a to anchor b.
+
+        Only runs of repeated phrases, and only where some start is undecided (ask) or
+        stands for all copies of a known run.  The latter is left out where the inner
+        run occurs no oftener than the known one: then each of its copies lies in a copy
+        of the known run, and none of them can be undecided.
+        """
+        s, e, i, j, ask = self._stretches()
+        shown = np.zeros(self.starts, bool)
+        most = np.zeros(self.starts, np.int64)
+        begin, end, count, canon = self.runs
+        if canon.any():
+            shown = self._cover(begin[canon], end[canon])
+            order = np.argsort(count, kind="stable")
+            for a, b, n in zip(begin[order].tolist(), end[order].tolist(), count[order].tolist()):
+                most[a:b] = n
+        shows = np.r_[0, np.cumsum(shown)]
+        use = ask | (shows[e] > shows[s])
+        if not use.any():
+            return []
+        names = np.full((KEY_LEVEL + 1, len(self.x)), -1, np.int64)
+        counts = np.zeros((KEY_LEVEL + 1, len(self.x)), np.int64)
+        low = self.level <= KEY_LEVEL
+        names[self.level[low], self.i[low]] = self.name[low]
+        counts[self.level[low], self.i[low]] = self.n[low]
         out = []
         for s, e, i, j, ask in zip(*(v[use].tolist() for v in (s, e, i, j, ask))):
             level = min(KEY_LEVEL, (j - i).bit_length() - 1)
-            names = self.names[level][[*range(i, j - (1 << level), 1 << level), j - (1 << level)]]
-            if (names >= 0).all():
-                key = np.r_[j - i, names].astype("<i8").tobytes()
-                out.append((s, e, int(self.x[i]), int(self.x[j]), key, ask))
+            parts = [*range(i, j - (1 << level), 1 << level), j - (1 << level)]
+            inner = names[level, parts]
+            if (inner < 0).any() or not ask and most[s:e].min() >= counts[level, parts].min():
+                continue
+            out.append((s, e, int(self.x[i]), int(self.x[j]), (j - i).to_bytes(8, "little") + inner.tobytes(), ask))
         return out
 
 
-def _document(row, length: int, gap: int) -> _Document:
-    return _Document(row.n, row.x, row.lo, row.marks, length, gap)
+def _documents(batch: pd.DataFrame, length: int, gap: int) -> Iterator[_Document]:
+    return (_Document(*v, length, gap) for v in zip(*(batch[c] for c in _LAYOUT)))
 
 
-def _worth_reading(length: int, gap: int):
+def _promising(length: int, gap: int):
     """Whether a document may have a repeated string, from its ranks alone."""
 
     @F.pandas_udf("boolean")
-    def worth(n: pd.Series, x: pd.Series, lo: pd.Series, marks: pd.Series) -> pd.Series:
-        found = (_Document(*v, length, gap) for v in zip(n, x, lo, marks))
-        return pd.Series([bool(d.known.any()) or bool(d.stretches()) for d in found], dtype=bool)
+    def promising(size: pd.Series, x: pd.Series, lo: pd.Series, level: pd.Series, i: pd.Series, name: pd.Series, n: pd.Series, canon: pd.Series) -> pd.Series:
+        found = (_Document(*v, length, gap) for v in zip(size, x, lo, level, i, name, n, canon))
+        return pd.Series([d.promising() for d in found], dtype=bool)
 
-    return worth("n", "x", "lo", "marks")
+    return promising(*_LAYOUT)
 
 
 _CONTEXT = ["key", "before", "after", "least"]
@@ -210,20 +271,20 @@ def _contexts(candidates: DataFrame, length: int, gap: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for row in batch.itertuples(index=False):
-                data = row.text.encode("utf-8")
-                for s, e, a, b, key, ask in _document(row, length, gap).stretches():
+            rows, digests = [], []
+            for text, docno, copies, document in zip(batch.text, batch.docno, batch.copies, _documents(batch, length, gap)):
+                data = text.encode("utf-8")
+                for s, e, a, b, key, ask in document.stretches():
                     before, after, least = data[s:a], data[b : e - 1 + length], a - e + 1
-                    digest = xxhash.xxh3_128()
-                    for part in (key, before, after):
-                        digest.update(len(part).to_bytes(8, "little") + part)
-                    h1, h2 = np.frombuffer(digest.digest(), "<i8").tolist()
-                    rows.append((h1, h2, key, before, after, least, row.docno, s, ask, row.copies))
-            yield pd.DataFrame(rows, columns=["h1", "h2", *_CONTEXT, "docno", "s", "ask", "copies"])
+                    sizes = len(key) << 64 | len(before) << 32 | least
+                    digests.append(xxhash.xxh3_128_digest(sizes.to_bytes(16, "little") + key + before + after))
+                    rows.append((key, before, after, least, docno, s, ask, copies))
+            made = pd.DataFrame(rows, columns=[*_CONTEXT, "docno", "s", "ask", "copies"])
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            yield made.assign(h1=halves[:, 0], h2=halves[:, 1])
 
-    schema = "h1 long, h2 long, key binary, before binary, after binary, least int, docno long, s int, ask boolean, copies long"
-    return candidates.select("docno", "text", "n", "x", "lo", "marks", "copies").mapInPandas(emit, schema)
+    schema = "key binary, before binary, after binary, least int, docno long, s int, ask boolean, copies long, h1 long, h2 long"
+    return candidates.select("docno", "text", "copies", *_LAYOUT).mapInPandas(emit, schema)
 
 
 def _strings(before: bytes, after: bytes, least: int) -> Iterator[tuple[int, bytes]]:
@@ -239,37 +300,74 @@ def _ranges(ds: list[int]) -> list[tuple[int, int]]:
     return list(zip(v[np.r_[0, edge + 1]].tolist(), v[np.r_[edge, len(v) - 1]].tolist()))
 
 
+def _common_start(a: bytes, b: bytes) -> int:
+    """Bytes that both begin with."""
+    size = min(len(a), len(b))
+    differ = int.from_bytes(a[:size], "little") ^ int.from_bytes(b[:size], "little")
+    return size if not differ else ((differ & -differ).bit_length() - 1) // 8
+
+
+def _common_end(a: bytes, b: bytes) -> int:
+    size = min(len(a), len(b))
+    return _common_start(a[len(a) - size :][::-1], b[len(b) - size :][::-1])
+
+
+Context = tuple[bytes, bytes, int, bool]  # before, after, least, open
+
+
+def _repeated_by_pairs(contexts: list[Context]) -> Iterator[tuple[int, int, int]]:
+    """(position, from, to) of each open context and each other one: a d is common if both sides agree so far."""
+    for p, (before, after, least, open_) in enumerate(contexts):
+        room = len(after) + least
+        for other_before, other_after, other_least, _ in contexts[:p] + contexts[p + 1 :] if open_ else []:
+            high = _common_end(before, other_before)
+            low = max(least, other_least, room - _common_start(after, other_after))
+            if low <= high:
+                yield p, low, high
+
+
+def _repeated_by_strings(contexts: list[Context]) -> Iterator[tuple[int, int, int]]:
+    """The same for many contexts: strings are counted."""
+    seen: dict[tuple[int, bytes], int] = {}
+    for before, after, least, _ in contexts:
+        for string in _strings(before, after, least):
+            seen[string] = seen.get(string, 0) + 1
+    for p, (before, after, least, open_) in enumerate(contexts):
+        twice = [s[0] for s in _strings(before, after, least) if seen[s] > 1] if open_ else []
+        for low, high in _ranges(twice) if twice else []:
+            yield p, low, high
+
+
 _FOUND = "h1 long, h2 long, from int, to int"
+_PAIRS = 12  # contexts up to which pairs are cheaper than strings
 
 
 def _compare_groups(contexts: DataFrame) -> DataFrame:
     """The ranges of d whose string occurs in another context of the same run; sorted runs are worked through one by one."""
 
-    def repeated(rows: pd.DataFrame) -> list[tuple]:
-        if len(rows) == 1:
-            return []
-        seen: dict[tuple[int, bytes], int] = {}
-        for row in rows.itertuples(index=False):
-            for string in _strings(row.before, row.after, row.least):
-                seen[string] = seen.get(string, 0) + 1
-        out = []
-        for row in rows[rows.ask & (rows.m == 1)].itertuples(index=False):
-            twice = [s[0] for s in _strings(row.before, row.after, row.least) if seen[s] > 1]
-            out += [(row.h1, row.h2, *r) for r in (_ranges(twice) if twice else [])]
-        return out
+    def repeated(keys: list, rows: list[tuple]) -> pd.DataFrame:
+        out, start = [], 0
+        for end in range(1, len(keys) + 1):
+            if end < len(keys) and keys[end] == keys[start]:
+                continue
+            group = rows[start:end]
+            find = _repeated_by_pairs if len(group) <= _PAIRS else _repeated_by_strings
+            out += [(*group[p][:2], low, high) for p, low, high in find([row[2:] for row in group])]
+            start = end
+        return pd.DataFrame(out, columns=["h1", "h2", "from", "to"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        keys: list = []
+        rows: list[tuple] = []
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            starts = np.flatnonzero((rows.key != rows.key.shift()).to_numpy())
-            out = []
-            for start, end in zip(starts, starts[1:]):
-                out += repeated(rows.iloc[start:end])
-            yield pd.DataFrame(out, columns=["h1", "h2", "from", "to"])
-            rest = rows.iloc[starts[-1] :] if len(starts) else rest
-        if rest is not None and len(rest):
-            yield pd.DataFrame(repeated(rest), columns=["h1", "h2", "from", "to"])
+            keys += batch.key.tolist()
+            rows += zip(batch.h1.tolist(), batch.h2.tolist(), batch.before, batch.after, batch.least.tolist(), batch.open.tolist())
+            last = len(keys) - 1
+            while last > 0 and keys[last - 1] == keys[-1]:
+                last -= 1
+            yield repeated(keys[:last], rows[:last])
+            keys, rows = keys[last:], rows[last:]
+        yield repeated(keys, rows)
 
     return contexts.repartition("key").sortWithinPartitions("key").mapInPandas(compare, _FOUND)
 
@@ -281,10 +379,9 @@ def _compare_strings(contexts: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                open_ = bool(row.ask and row.m == 1)
                 for d, string in _strings(row.before, row.after, row.least):
                     digest = xxhash.xxh3_128_digest(row.key + d.to_bytes(8, "little") + string)
-                    rows.append((*np.frombuffer(digest, "<i8").tolist(), row.h1, row.h2, d, open_))
+                    rows.append((*np.frombuffer(digest, "<i8").tolist(), row.h1, row.h2, d, row.open))
             yield pd.DataFrame(rows, columns=["w1", "w2", "h1", "h2", "d", "open"])
 
     strings = contexts.mapInPandas(spread, "w1 long, w2 long, h1 long, h2 long, d int, open boolean")
@@ -297,33 +394,37 @@ def _repeated_starts(candidates: DataFrame, length: int, gap: int, split_rows: i
     """docno and ``spans`` (lo, hi): the undecided starts whose string occurs again."""
     contexts = stored(_contexts(candidates, length, gap), "contexts")
     distinct = stored(
-        contexts.groupBy("h1", "h2", *_CONTEXT).agg(F.sum("copies").alias("m"), F.max("ask").alias("ask")), "distinct"
+        contexts.groupBy("h1", "h2", *_CONTEXT).agg(F.sum("copies").alias("m"), F.max("ask").alias("ask"))
+        .withColumn("open", F.col("ask") & (F.col("m") == 1)), "distinct"
     )
-    sizes = distinct.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    large = sizes.where(F.col("size") > split_rows).select(F.col("key").alias("run"))
-    small = sizes.where(F.col("size") <= split_rows).select(F.col("key").alias("run"))
-    some = _compare_groups(distinct.join(small, distinct["key"] == small["run"], "left_semi"))
-    many = _compare_strings(distinct.join(large, distinct["key"] == large["run"], "left_semi"))
+    # Only runs with an open context and another one need comparing.
+    sizes = distinct.groupBy("key").agg(F.count("*").alias("size"), F.max("open").alias("any")).where("size > 1 AND any")
+    sizes = stored(sizes.select(F.col("key").alias("run"), "size"), "sizes")
+    some = distinct.join(sizes.where(F.col("size") <= split_rows), distinct["key"] == F.col("run"), "left_semi")
+    many = distinct.join(sizes.where(F.col("size") > split_rows), distinct["key"] == F.col("run"), "left_semi")
     full = distinct.where("m > 1 AND ask").select("h1", "h2", F.col("least").alias("from"), F.length("before").alias("to"))
-    found = stored(some.union(many).union(full), "found")
+    found = stored(_compare_groups(some).union(_compare_strings(many)).union(full), "found")
     asked = contexts.where("ask").select(
         F.col("h1").alias("c1"), F.col("h2").alias("c2"), "docno", (F.col("s") + F.length("before")).alias("a")
     )
     spans = asked.join(found, (asked["c1"] == found["h1"]) & (asked["c2"] == found["h2"])).select(
         F.col("docno").alias("doc"), F.struct((F.col("a") - F.col("to")).alias("lo"), (F.col("a") - F.col("from")).alias("hi")).alias("span")
     )
-    return spans.groupBy("doc").agg(F.collect_list("span").alias("spans"))
+    gathered = spans.groupBy("doc").agg(F.collect_list("span").alias("spans"))
+    kept = stored(gathered.select("doc", F.col("spans.lo").alias("span_lo"), F.col("spans.hi").alias("span_hi")), "spans")
+    discard(contexts, distinct, sizes, found)
+    return kept
 
 
-def _removed(document: _Document, spans) -> np.ndarray:
+def _removed(document: _Document, span_lo, span_hi) -> np.ndarray:
     """A flag per byte."""
-    steps = np.zeros(document.n + 1, np.int64)
-    repeated = document.known.copy()
-    for span in [] if spans is None else spans:
-        repeated[span["lo"] : span["hi"] + 1] = True
+    repeated = document.known
+    if span_lo is not None:
+        repeated = repeated | document._cover(span_lo, span_hi + 1)
     starts = np.flatnonzero(repeated)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + document.length, -1)
+    steps = np.zeros(document.size + 1, np.int64)
+    steps[starts] += 1
+    steps[starts + document.length] -= 1
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -344,19 +445,22 @@ def remove_repeats(
     if 2 * gap + GRAM - 1 > length or gap < 2:
         raise ValueError("a string of the given length must hold two anchors")
     phrases = _phrases(docs, id_column, text_column, length, gap)
-    ranked = phrases.select("docno", "n", "x", "lo").join(_doubled(phrases, length, gap), "docno")
+    marks = _doubled(phrases, length, gap)
+    ranked = phrases.select("docno", "size", "x", "lo").join(marks, "docno")
     copies = phrases.groupBy("id_key", "text_key").agg(F.min("docno").alias("docno"), F.count("*").alias("copies"))
     wanted = stored(
-        ranked.join(copies, "docno").where(_worth_reading(length, gap)).withColumnsRenamed({"id_key": "i", "text_key": "k"}), "wanted"
+        ranked.join(copies, "docno").where(_promising(length, gap)).withColumnsRenamed({"id_key": "i_key", "text_key": "t_key"}), "wanted"
     )
+    discard(phrases, marks)
     text = whole_text(text_column)
     source = docs.select(F.col(id_column).alias("doc_id"), id_key(id_column).alias("id_key"), text_key(text_column).alias("text_key"), text.alias("text"))
-    joined = source.join(wanted, (source["id_key"] == wanted["i"]) & (source["text_key"] == wanted["k"]), "left")
-    parted = stored(joined.drop("i", "k").withColumns({
+    joined = source.join(wanted, (source["id_key"] == wanted["i_key"]) & (source["text_key"] == wanted["t_key"]), "left")
+    parted = stored(joined.drop("i_key", "t_key").withColumns({
         "n_bytes": F.octet_length("text").cast("long"),
         "whole_sha256": F.when(F.col("docno").isNull(), F.sha2("text", 256)),
         "text": F.when(F.col("docno").isNotNull() | F.lit(with_text), F.col("text")),
     }), "parted")
+    discard(wanted)
     candidates = parted.where("docno IS NOT NULL")
     # Rows that repeat an id and a text are all here; their contexts occur more than once either way.
     spans = _repeated_starts(candidates, length, gap, split_rows)
@@ -366,8 +470,8 @@ def remove_repeats(
     def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for row in batch.itertuples(index=False):
-                gone = _removed(_document(row, length, gap), row.spans)
+            for row, document in zip(batch.itertuples(index=False), _documents(batch, length, gap)):
+                gone = _removed(document, row.span_lo, row.span_hi)
                 left = np.frombuffer(row.text.encode("utf-8"), np.uint8)[~gone].tobytes()
                 spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
                 made = (row.doc_id, row.id_key, row.text_key, row.n_bytes, int(gone.sum()), spans, hashlib.sha256(left).hexdigest())
@@ -376,7 +480,7 @@ def remove_repeats(
 
     schema = "doc_id long, id_key long, text_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
     stripped = told.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "id_key", "text_key", "n_bytes", "n", "x", "lo", "marks", "text", "spans"
+        F.col("doc_id").cast("long").alias("doc_id"), "id_key", "text_key", "n_bytes", *_LAYOUT, "text", "span_lo", "span_hi"
     ).mapInPandas(strip, schema)
     none = F.lit(0).cast("long")
     whole = parted.where("docno IS NULL").select(
