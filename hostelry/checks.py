@@ -7,7 +7,7 @@ most direct form, without the reductions the Spark plans use.
 from __future__ import annotations
 
 from .schemas import SOURCE_TABLES, TABLES
-from .sources.sample_tables import STATEMENTS
+from .sources.sample_tables import STATEMENTS, damaged_statement
 
 _AS_OF = "TIMESTAMP '2001-12-31 00:00:00'"
 _BASE = {name: name for name in ("part", "nation", "region", "events", "orders")}
@@ -115,7 +115,8 @@ FULL JOIN (SELECT CAST(date_trunc('week', activity_date) AS DATE) AS week, city,
         count(*) AS n
       FROM activity LEFT JOIN listing USING (apartment_id)
       WHERE activity_type = 'viewing' GROUP BY ALL) v
-  ON b.week = v.week AND b.city = v.city AND b.state = v.state""",
+  ON b.week = v.week AND b.city IS NOT DISTINCT FROM v.city
+    AND b.state IS NOT DISTINCT FROM v.state""",
     "top_listings": """
 SELECT * EXCLUDE (rank) FROM (
   SELECT w.week AS week_start_date, w.apartment_id, l.title, l.city, l.state, w.total_revenue,
@@ -201,6 +202,8 @@ LEFT JOIN (SELECT CAST(date_trunc('{grain}', night) AS DATE) AS period, count(*)
 
 
 _STAGES["performance"] = _performance("week")
+_STAGES["monthly"] = _performance("month")
+_STAGES |= {f"d_{t}": damaged_statement(t, t) for t in SOURCE_TABLES}
 
 _NEEDS = {
     "e_apartments": ["apartments"], "e_viewings": ["user_viewings"], "e_bookings": ["bookings"],
@@ -211,6 +214,7 @@ _NEEDS = {
     "top_listings": ["booked", "night", "listing"], "engagement": ["activity", "booked"],
     "history": ["booked", "listing"], "latest_history": ["history"],
     "latest_listings": ["top_listings"], "performance": ["activity", "listing", "night"],
+    "monthly": ["activity", "listing", "night"], **{f"d_{t}": [t] for t in SOURCE_TABLES},
 }
 
 
@@ -338,7 +342,7 @@ def _foreign(table: str, name: str, column: str, parent: str, key: str) -> str:
     return (
         f"SELECT '{name}' AS \"table\", 'foreign_key' AS \"check\", '{column}' AS \"column\", "
         f"count(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN "
-        f"(SELECT {key} FROM {parent})) AS violations, count(*) AS rows FROM {table}"
+        f"(SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)) AS violations, count(*) AS rows FROM {table}"
     )
 
 
@@ -346,13 +350,14 @@ def _report() -> str:
     parts = []
     for name in SOURCE_TABLES:
         table = TABLES[name]
-        parts += _not_null(name, name, table.required)
-        parts += _too_long(name, name, table.text_limits)
-        parts.append(_unique(name, name, list(table.key), "primary_key"))
-        parts += [_unique(name, name, [c], "unique") for c in table.unique]
-        parts += [_foreign(name, name, c, p, k) for c, (p, k) in table.parents.items()]
+        broken = f"d_{name}"
+        parts += _not_null(broken, name, table.required)
+        parts += _too_long(broken, name, table.text_limits)
+        parts.append(_unique(broken, name, list(table.key), "primary_key"))
+        parts += [_unique(broken, name, [c], "unique") for c in table.unique]
+        parts += [_foreign(broken, name, c, f"d_{p}", k) for c, (p, k) in table.parents.items()]
     union = "\nUNION ALL\n".join(parts)
-    return _with(list(SOURCE_TABLES), f"""
+    return _with([f"d_{t}" for t in SOURCE_TABLES], f"""
 SELECT *, CASE WHEN rows > 0 THEN round(violations::DOUBLE / rows, 6) ELSE 0.0::DOUBLE END AS rate,
   0.0::DOUBLE AS threshold, violations = 0 AS passed
 FROM ({union})""")
@@ -385,6 +390,32 @@ def _lost_values() -> str:
     return _with(["bookings"], "\nUNION ALL\n".join(parts))
 
 
+def _pipeline() -> str:
+    """Rows and a total of every table that the pipeline stores."""
+    stages = {
+        "apartments": ("apartments", "price"),
+        "apartment_attributes": ("apartment_attributes", "square_feet"),
+        "user_viewings": ("user_viewings", "user_id"), "bookings": ("bookings", "total_price"),
+        "curated_apartments": ("c_apartments", "price"),
+        "curated_apartment_details": ("c_details", "square_feet"),
+        "curated_user_activity": ("activity", "total_price"),
+        "pres_rental_performance_weekly": ("performance", "total_active_listings"),
+        "pres_rental_performance_monthly": ("monthly", "total_active_listings"),
+        "pres_popular_locations_weekly": ("locations", "total_bookings"),
+        "pres_top_listings_weekly": ("top_listings", "total_revenue"),
+        "pres_user_engagement_weekly": ("engagement", "total_bookings"),
+        "pres_user_booking_history": ("history", "total_spend"),
+    }
+    parts = [
+        f"SELECT '{table}' AS \"table\", count(*) AS rows, "
+        f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {stage}"
+        for table, (stage, value) in stages.items()
+    ]
+    parts.append("SELECT 'presentation_metrics', 1::BIGINT, CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) "
+                 "FROM e_bookings")
+    return _with([s for s, _ in stages.values()] + ["e_bookings"], "\nUNION ALL\n".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     activity_rate = (
         "CASE WHEN total_users > 0 THEN 100.0::DOUBLE * active_users / total_users "
@@ -467,10 +498,14 @@ SELECT city || ', ' || state AS place, strftime(week_start_date, '%Y-%m-%d') AS
   {_LOCATION_COLUMNS}
 FROM locations WHERE week_start_date = (SELECT max(week_start_date) FROM locations)
 ORDER BY locations.total_bookings DESC, city, state LIMIT 10"""),
-        "top5_city_pivot": _with(["locations"], """
-PIVOT (SELECT week_start_date, city, total_bookings FROM locations WHERE city IN (
-    SELECT city FROM locations GROUP BY city ORDER BY sum(total_bookings) DESC, city LIMIT 5))
-ON city USING first(total_bookings) GROUP BY week_start_date"""),
+        "top5_city_pivot": _with(["locations"], f"""
+SELECT week_start_date, {', '.join(
+    f"max(city) FILTER (WHERE r = {i}) AS city_{i}, "
+    f"CAST(sum(total_bookings) FILTER (WHERE r = {i}) AS BIGINT) AS bookings_{i}"
+    for i in range(1, 6))}
+FROM locations JOIN (SELECT city, row_number() OVER (ORDER BY sum(total_bookings) DESC, city) AS r
+  FROM locations WHERE city IS NOT NULL GROUP BY city) USING (city)
+WHERE r <= 5 GROUP BY week_start_date"""),
         "top_listings_latest": _with(
             ["latest_listings"], "SELECT * FROM latest_listings"
         ),
@@ -584,7 +619,11 @@ FROM bookings b LEFT JOIN apartments a ON a.id = b.apartment_id"""),
             f"SELECT '{t}' AS \"table\", 'ok' AS status, count(*) AS rows FROM {t}"
             for t in SOURCE_TABLES
         )),
-        "pipeline_e2e": _with(["engagement"], "SELECT * FROM engagement"),
+        "pipeline_e2e": _pipeline(),
+        "flat_snapshot": _with(["bookings"], "SELECT id, user_id, total_price FROM bookings"),
+        "even_table": _with(
+            ["apartment_attributes"], "SELECT id, cityname, square_feet FROM apartment_attributes"
+        ),
         "csv_seed": _with(list(SOURCE_TABLES), "\nUNION ALL\n".join(
             f"SELECT '{t}' AS \"table\", count(*) AS n_rows FROM {t}" for t in SOURCE_TABLES
         )),

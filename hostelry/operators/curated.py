@@ -85,18 +85,18 @@ def with_activity_ids(activity: DataFrame) -> DataFrame:
     )
     placed = stored.select(
         *stored.columns,
-        F.col("_metadata.file_path").alias("file"),
+        F.regexp_extract("_metadata.file_path", r"part-(\d+)-", 1).cast("int").alias("part"),
+        F.regexp_extract("_metadata.file_path", r"-c(\d+)\.", 1).cast("int").alias("piece"),
         F.col("_metadata.row_index").alias("position"),
     )
-    part = F.regexp_extract("file", r"part-(\d+)-", 1).cast("int")
-    earlier = W.orderBy(part, "file").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy("part", "piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-        .select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skipped"))
+        placed.groupBy("part", "piece").agg(F.count(F.lit(1)).alias("n"))
+        .select("part", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skipped"))
     )
     columns = TABLES["curated_user_activity"].schema.names
     return (
-        placed.join(F.broadcast(offsets), "file")
+        placed.join(offsets, ["part", "piece"])
         .withColumn("activity_id", F.col("skipped") + F.col("position") + 1)
         .select(*columns)
     )

@@ -19,8 +19,12 @@ def lookback(df: DataFrame, at: str, as_of: datetime, days: int) -> DataFrame:
 
 
 def latest(df: DataFrame, value: Column) -> Column:
-    """The largest ``value`` of ``df`` as a scalar subquery."""
-    return df.agg(F.max(value)).scalar()
+    """The largest ``value`` of ``df`` as a literal.
+
+    One row is read to the driver: as a literal, unlike as a subquery, the bound
+    reaches the statistics of stored files, which then skip what lies before it.
+    """
+    return F.lit(df.agg(F.max(value).alias("newest")).first()["newest"])
 
 
 def period_spine(bounds: DataFrame, grain: str = "week") -> DataFrame:

@@ -83,8 +83,10 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
 
 def foreign_key(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     per_key = child.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    # Distinct first: a parent key that is itself duplicated must not multiply.
-    known = parent.select(F.col(key).alias("_parent")).distinct()
+    # Grouped first: a parent key that is itself duplicated must not multiply.  It is the
+    # grouping of the parent's own key check, count included, so its shuffle is reused.
+    grouped = parent.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    known = grouped.select(F.col(key).alias("_parent"))
     matched = per_key.join(known, per_key[column] == known["_parent"], "left")
     lost = F.when(F.col(column).isNotNull() & F.col("_parent").isNull(), F.col("n")).otherwise(0)
     return matched.agg(

@@ -32,8 +32,8 @@ def first_rows(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> Data
 
 
 def top_totals(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
-    """The ``k`` keys with the largest summed value, ties by key."""
-    totals = df.groupBy(key).agg(F.sum(value).alias("total"))
+    """The ``k`` keys with the largest summed value, ties by key; a missing key is none."""
+    totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(value).alias("total"))
     return totals.orderBy(F.col("total").desc_nulls_last(), F.col(key)).limit(k)
 
 

@@ -26,9 +26,12 @@ def rolling_counts(bookings: DataFrame, days: int = 30, chunk: str = "hour") ->
             "inline(array(struct(booking_date AS at, 1L AS entered, 0L AS left), "
             f"struct(booking_date + interval {int(days)} days AS at, 0L AS entered, 1L AS left)))"
         ))
-        .groupBy("user_id", "at")
-        .agg(F.sum("entered").alias("entered"), F.sum("left").alias("left"))
+        # Filtered and cut before the grouping, so that both uses below share one shuffle.
+        .where("at IS NOT NULL")
         .withColumn("chunk", F.date_trunc(chunk, "at"))
+        .where("chunk IS NOT NULL")
+        .groupBy("user_id", "chunk", "at")
+        .agg(F.sum("entered").alias("entered"), F.sum("left").alias("left"))
     )
     inside = W.partitionBy("user_id", "chunk").orderBy("at")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import pearson, trend_columns
@@ -42,7 +43,7 @@ def repeat_rate_summary(engagement: DataFrame) -> DataFrame:
 
 def top_cities_latest(locations: DataFrame, k: int = 10) -> DataFrame:
     """Most booked places of the latest week, labelled."""
-    order = [F.col("total_bookings").desc_nulls_last(), F.col("city"), F.col("state")]
+    order = [F.col("total_bookings").desc_nulls_last(), F.col("city").asc_nulls_last(), F.col("state")]
     return latest_top_k(locations, WEEK, order, k).select(
         city_label(F.col("city"), F.col("state")).alias("place"),
         day_text(F.col(WEEK)).alias("week"),
@@ -54,14 +55,40 @@ def city_trends(locations: DataFrame, k: int = 5) -> DataFrame:
     """Weekly bookings of the ``k`` most booked cities, one column per city.
 
     Reads at most ``k`` names to the driver, since they become column names.
-    ``locations`` is read twice: pass a stored table.
+    ``locations`` is read twice: pass a stored table, or take ``ranked_city_trends``.
+    A name in several states is one city.
     """
-    top = top_totals(locations, "city", "total_bookings", k)
+    weekly = _city_weeks(locations)
+    top = top_totals(weekly, "city", "total_bookings", k)
     names = [r["city"] for r in top.collect()]
-    rows = keep_keys(locations, top, "city")
+    rows = keep_keys(weekly, top, "city")
     return pivot_unique(rows, WEEK, "city", "total_bookings", names)
 
 
+def _city_weeks(locations: DataFrame) -> DataFrame:
+    known = locations.where(F.col("city").isNotNull())
+    return known.groupBy(WEEK, "city").agg(F.sum("total_bookings").alias("total_bookings"))
+
+
+def ranked_city_trends(locations: DataFrame, k: int = 5) -> DataFrame:
+    """The same with fixed columns: city_1, bookings_1 ... for the city of each rank.
+
+    The pivot is on the rank, known in advance, so nothing is read to the driver.  A week
+    without the city of some rank has null there.
+    """
+    weekly = _city_weeks(locations)
+    top = top_totals(weekly, "city", "total_bookings", k)
+    order = W.orderBy(F.col("total").desc_nulls_last(), F.col("city"))  # over k rows
+    ranks = top.select("city", F.row_number().over(order).alias("rank"))
+    cells = weekly.join(F.broadcast(ranks), "city")
+    columns = []
+    for i in range(1, k + 1):
+        mine = F.col("rank") == i
+        columns.append(F.max(F.when(mine, F.col("city"))).alias(f"city_{i}"))
+        columns.append(F.max(F.when(mine, F.col("total_bookings"))).alias(f"bookings_{i}"))
+    return cells.groupBy(WEEK).agg(*columns)
+
+
 def top_listings_latest(listing_weeks: DataFrame, k: int = 10) -> DataFrame:
     order = [F.col("total_revenue").desc_nulls_last(), F.col("apartment_id")]
     return latest_top_k(listing_weeks, WEEK, order, k)

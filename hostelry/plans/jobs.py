@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -17,7 +18,8 @@ from ..operators.enrich import (
 )
 from ..operators.periods import lookback
 from ..schemas import CURATED_ROUTES, RAW_ROUTES, SOURCE_TABLES, create_layers, qualified
-from ..sources.csv import read_seed
+from ..session import configure
+from ..sources.csv import FREE_TEXT, read_seed
 from ..sources.snapshots import Audit, read_latest, write_snapshot
 from ..sources.tables import refresh_table, replace_table
 from . import engagement, rental
@@ -54,20 +56,35 @@ class StepFailed(RuntimeError):
     """At least one table of a step failed."""
 
 
+Sink = Callable[[DataFrame, str], Audit]
+
+
 def fan_out(
-    spark: SparkSession, names: Iterable[str], step: Callable[[str], Audit]
+    spark: SparkSession, names: Iterable[str], step: Callable[[str], Audit], parallel: int = 4
 ) -> DataFrame:
-    """Run ``step`` per table.  A failure is recorded and the others still run."""
-    rows = []
-    for name in names:
+    """Run ``step`` per table, ``parallel`` tables at a time; rows in the order of ``names``.
+
+    A failure is recorded and the others still run.
+    """
+
+    def one(name: str) -> tuple:
         try:
             done = step(name)
-            rows.append((name, "ok", done.rows, done.path, None))
+            return name, "ok", done.rows, done.path, None
         except Exception as error:  # noqa: BLE001 - reported as a status row
-            rows.append((name, "failed", None, None, f"{type(error).__name__}: {error}"))
+            return name, "failed", None, None, f"{type(error).__name__}: {error}"
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        rows = list(pool.map(one, names))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
+def _put(
+    df: DataFrame, table: str, as_of: datetime, prefix: str, sink: Sink | None, arrange: bool = False
+) -> Audit:
+    return refresh_table(df, table, as_of, prefix, arrange) if sink is None else sink(df, table)
+
+
 def require_ok(step: str, status: DataFrame) -> DataFrame:
     """Raise when a table of the step failed; one row per table at most."""
     failed = status.where("status <> 'ok'").collect()
@@ -104,19 +121,23 @@ def transform_all(
 
 
 def load_raw(
-    spark: SparkSession, raw_root: str, as_of: datetime, prefix: str = ""
+    spark: SparkSession, raw_root: str, as_of: datetime, prefix: str = "", sink: Sink | None = None
 ) -> DataFrame:
-    """Latest raw snapshots to the raw layer, one table each."""
+    """Latest raw snapshots to the raw layer, one table each.
+
+    Here and below ``sink(rows, table)`` may take the rows of a table elsewhere, such as to
+    a JDBC warehouse; without it they replace the table of the Spark catalog.
+    """
 
     def one(source: str) -> Audit:
         df = read_latest(spark, raw_root, source, allow_flat=True)
-        return refresh_table(df, RAW_ROUTES[source], as_of, prefix)
+        return _put(df, RAW_ROUTES[source], as_of, prefix, sink)
 
     return fan_out(spark, RAW_ROUTES, one)
 
 
 def load_curated(
-    spark: SparkSession, processed_root: str, as_of: datetime, prefix: str = ""
+    spark: SparkSession, processed_root: str, as_of: datetime, prefix: str = "", sink: Sink | None = None
 ) -> DataFrame:
     """Latest processed snapshots to the curated layer.  Viewings and bookings
     share a target and are loaded together; their ids already follow the time
@@ -135,14 +156,14 @@ def load_curated(
 
     def one(target: str) -> Audit:
         arrange = target != "curated_user_activity"
-        return refresh_table(build(target), target, as_of, prefix, arrange)
+        return _put(build(target), target, as_of, prefix, sink, arrange)
 
     return fan_out(spark, targets, one)
 
 
 def generate_metrics(
     spark: SparkSession, processed_root: str, metrics_root: str, as_of: datetime,
-    prefix: str = "", days: int | None = None,
+    prefix: str = "", days: int | None = None, sink: Sink | None = None,
 ) -> DataFrame:
     """The KPI row as a snapshot and in the presentation layer.  It is computed
     once; the table is loaded from the stored row.  ``days`` limits the activity
@@ -157,12 +178,14 @@ def generate_metrics(
     def one(table: str) -> Audit:
         frames = [source(t) for t in ("apartments", "user_viewings", "bookings")]
         write_snapshot(presentation_metrics(*frames, as_of), metrics_root, table, as_of)
-        return refresh_table(read_latest(spark, metrics_root, table), table, as_of, prefix)
+        return _put(read_latest(spark, metrics_root, table), table, as_of, prefix, sink)
 
     return fan_out(spark, ["presentation_metrics"], one)
 
 
-def build_presentation(spark: SparkSession, as_of: datetime, prefix: str = "") -> DataFrame:
+def build_presentation(
+    spark: SparkSession, as_of: datetime, prefix: str = "", sink: Sink | None = None
+) -> DataFrame:
     """The six presentation datasets from the curated tables."""
     apartments, details, activity = (
         spark.table(qualified(t, prefix))
@@ -178,16 +201,25 @@ def build_presentation(spark: SparkSession, as_of: datetime, prefix: str = "") -
         "pres_user_booking_history": lambda: engagement.user_booking_history(activity, details),
     }
     return fan_out(
-        spark, build, lambda t: refresh_table(build[t](), t, as_of, prefix, arrange=True)
+        spark, build, lambda t: _put(build[t](), t, as_of, prefix, sink, arrange=True)
     )
 
 
-def seed_from_csv(spark: SparkSession, folder: str, database: str) -> DataFrame:
-    """CSV seed files to source tables."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def seed_from_csv(
+    spark: SparkSession, folder: str, database: str, location: str | None = None
+) -> DataFrame:
+    """CSV seed files to source tables, in a database at ``location`` if one is given.
+
+    Only files with free text are read with quoted line breaks, one file per task; the
+    activity files split.
+    """
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     return fan_out(
         spark, SOURCE_TABLES,
-        lambda table: replace_table(read_seed(spark, folder, table), f"{database}.{table}"),
+        lambda table: replace_table(
+            read_seed(spark, folder, table, multi_line=table in FREE_TEXT), f"{database}.{table}"
+        ),
     )
 
 
@@ -197,6 +229,7 @@ def run_pipeline(
     metrics_days: int | None = None,
 ) -> DataFrame:
     """The whole chain in order; stops at the first step with a failed table."""
+    configure(spark)
     create_layers(spark, lake.prefix, location)
     steps: dict[str, Callable[[], DataFrame]] = {
         "extract": lambda: extract(spark, reader, lake.raw_root, as_of, days=days),

@@ -19,18 +19,29 @@ from .operators.ranking import first_rows
 from .operators.repeat import rolling_repeat
 from .plans import engagement, insights, jobs, kpis, rental
 from .schemas import SOURCE_TABLES, TABLES, create_layers, qualified
-from .session import configure, materialize, scratch_path
+from .session import configure, scratch_path
 from .sources.csv import CSV_FILES, read_seed
 from .sources.json_rows import rows_to_json
-from .sources.sample_tables import base_table, source_table
+from .sources.sample_tables import base_table, damaged_table, source_table
 from .sources.snapshots import read_latest, write_snapshot
-from .sources.tables import refresh_table, report_table, write_bucketed
+from .sources.tables import refresh_table, replace_table, spread_evenly, write_bucketed
 
 AS_OF = datetime(2001, 12, 31)
 EARLIER = datetime(2001, 12, 30)
 LOOKBACK_AS_OF = datetime(1998, 6, 30)
 LOOKBACK_DAYS = 30
 TITLE_BYTES = 255
+# A money or count column of every table that the pipeline stores.
+STORED_TOTALS = {
+    "apartments": "price", "apartment_attributes": "square_feet", "user_viewings": "user_id",
+    "bookings": "total_price", "curated_apartments": "price",
+    "curated_apartment_details": "square_feet", "curated_user_activity": "total_price",
+    "presentation_metrics": "total_booking_value",
+    "pres_rental_performance_weekly": "total_active_listings",
+    "pres_rental_performance_monthly": "total_active_listings",
+    "pres_popular_locations_weekly": "total_bookings", "pres_top_listings_weekly": "total_revenue",
+    "pres_user_engagement_weekly": "total_bookings", "pres_user_booking_history": "total_spend",
+}
 
 
 class Data:
@@ -108,7 +119,7 @@ def _presentation_metrics(d: Data) -> DataFrame:
 
 
 def _top5_city_pivot(d: Data) -> DataFrame:
-    return insights.city_trends(materialize(rental.popular_locations(*d.places), "locations"))
+    return insights.ranked_city_trends(rental.popular_locations(*d.places))
 
 
 def _top_cities_latest(d: Data) -> DataFrame:
@@ -174,7 +185,9 @@ def _dq_varchar_overflow(d: Data) -> DataFrame:
 
 
 def _dq_report(d: Data) -> DataFrame:
-    return quality.report({t: d.raw(t) for t in SOURCE_TABLES}, TABLES)
+    """Of tables that break some constraints here and there."""
+    frames = {t: damaged_table(d.spark, d.folder, t) for t in SOURCE_TABLES}
+    return quality.report(frames, TABLES)
 
 
 def _lost_values(d: Data) -> DataFrame:
@@ -243,13 +256,18 @@ def _load_audit(d: Data) -> DataFrame:
 
 
 def _pipeline_e2e(d: Data) -> DataFrame:
-    """The whole chain; answers with the weekly engagement report it produced."""
+    """The whole chain; answers with the rows and a total of every table it stored."""
     roots = [scratch_path(d.spark, name) for name in ("raw", "processed", "metrics")]
     prefix = f"q{uuid.uuid4().hex[:12]}_"
     jobs.run_pipeline(
         d.spark, d.raw, jobs.Lake(*roots, prefix), AS_OF, scratch_path(d.spark, "layers")
     )
-    return report_table(d.spark, "pres_user_engagement_weekly", prefix)
+    parts = []
+    for table, value in STORED_TOTALS.items():
+        total = F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
+        rows = d.spark.table(qualified(table, prefix)).agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
+        parts.append(rows.select(F.lit(table).alias("table"), "rows", "total"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _csv_seed(d: Data) -> DataFrame:
@@ -258,7 +276,8 @@ def _csv_seed(d: Data) -> DataFrame:
     for table, name in CSV_FILES.items():
         d.raw(table).write.option("escape", '"').csv(f"{folder}/{name}", header=True)
     database = f"q{uuid.uuid4().hex[:12]}_source"
-    jobs.require_ok("seed", jobs.seed_from_csv(d.spark, folder, database))
+    place = scratch_path(d.spark, "source")
+    jobs.require_ok("seed", jobs.seed_from_csv(d.spark, folder, database, place))
     counts = [
         quality.row_count(d.spark.table(f"{database}.{t}")).select(F.lit(t).alias("table"), "n_rows")
         for t in SOURCE_TABLES
@@ -281,21 +300,40 @@ def _numeric_summary(d: Data) -> DataFrame:
 
 
 def _bucketed_join(d: Data) -> DataFrame:
-    """Spend per listing over two tables bucketed on the listing: no shuffle to join."""
+    """Spend per listing over two tables bucketed on the listing: no shuffle to join.
+
+    Bookings are reduced per listing inside their bucket first, so the join sees one row of
+    a popular listing.  There are as many buckets as shuffle partitions.
+    """
+    buckets = int(d.spark.conf.get("spark.sql.shuffle.partitions"))
     prefix = _own_layers(d)
     names = {}
     for table, key in (("bookings", "apartment_id"), ("apartment_attributes", "apartment_id")):
         names[table] = f"{qualified(table, prefix)}_bucketed"
-        write_bucketed(d.raw(table).withColumn("k", F.col(key)), names[table], "k", 8)
+        write_bucketed(d.raw(table).withColumn("k", F.col(key)), names[table], "k", buckets)
     bookings, details = (d.spark.table(names[t]) for t in ("bookings", "apartment_attributes"))
-    return (
-        bookings.select("k", "total_price").join(details.select("k", "cityname"), "k")
-        .groupBy(F.col("k").alias("apartment_id"), "cityname")
-        .agg(F.count(F.lit(1)).alias("n_bookings"),
-             F.sum(F.col("total_price").cast("decimal(18,2)")).cast("double").alias("spend"))
+    spent = F.sum(F.col("total_price").cast("decimal(18,2)")).cast("double")
+    per_listing = bookings.groupBy("k").agg(F.count(F.lit(1)).alias("n_bookings"), spent.alias("spend"))
+    return per_listing.join(details.select("k", "cityname").hint("merge"), "k").select(
+        F.col("k").alias("apartment_id"), "cityname", "n_bookings", "spend"
     )
 
 
+def _flat_snapshot(d: Data) -> DataFrame:
+    """Files directly in a table's folder, without a snapshot level."""
+    root = scratch_path(d.spark, "flat")
+    d.raw("bookings").write.parquet(f"{root}/bookings")
+    return read_latest(d.spark, root, "bookings", allow_flat=True).select("id", "user_id", "total_price")
+
+
+def _even_table(d: Data) -> DataFrame:
+    """A table dealt evenly over its files, whatever its keys."""
+    prefix = _own_layers(d)
+    name = qualified("apartment_attributes", prefix)
+    replace_table(spread_evenly(d.raw("apartment_attributes"), 4), f"{name}_even")
+    return d.spark.table(f"{name}_even").select("id", "cityname", "square_feet")
+
+
 def _constant_currency(d: Data) -> DataFrame:
     return enrich.with_constant_currency(d.raw("bookings"), "EUR").select("id", "currency")
 
@@ -380,6 +418,8 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "load_audit": _load_audit,
     "pipeline_e2e": _pipeline_e2e,
     "csv_seed": _csv_seed,
+    "flat_snapshot": _flat_snapshot,
+    "even_table": _even_table,
     "bucketed_join": _bucketed_join,
     "sorted_table_range": _sorted_table_range,
 }
@@ -392,7 +432,7 @@ ROUNDED = {
     "occupancy_summary", "corr_occupancy_revenue", "bookings_per_user_summary",
     "booking_count_distribution", "booking_histogram", "booking_histogram_all_weeks",
     "booking_kde", "booking_kde_all_weeks", "numeric_summary", "duration_summary", "corr_duration_spend",
-    "repeat_rate_summary", "repeat_vs_onetime", "activity_rate", "avg_activity_rate",
+    "repeat_rate_summary", "repeat_vs_onetime", "dq_report", "activity_rate", "avg_activity_rate",
 }
 
 

@@ -17,6 +17,9 @@ CSV_FILES = {
     "bookings": "bookings.csv",
 }
 
+# Seed tables with free text, whose fields may hold line breaks.
+FREE_TEXT = {"apartments", "apartment_attributes"}
+
 # Texts that common CSV readers take as missing.
 MISSING_TEXTS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

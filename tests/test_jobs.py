@@ -95,6 +95,23 @@ def test_lookback_limits(spark, seed, tmp_path):
     assert (row.total_listings, row.total_viewings, row.total_bookings) == (2, 1, 1)
 
 
+def test_rows_can_go_to_another_sink(spark, seed, tmp_path):
+    raw, processed, metrics = (str(tmp_path / n) for n in ("raw", "processed", "metrics"))
+    jobs.require_ok("extract", jobs.extract(spark, lambda t: read_seed(spark, seed, t), raw, NOW))
+    jobs.require_ok("transform", jobs.transform_all(spark, raw, processed, NOW))
+    taken = {}
+
+    def sink(df, table):
+        taken[table] = df.count()
+        return Audit(f"warehouse/{table}", taken[table], "")
+
+    for status in (jobs.load_raw(spark, raw, NOW, sink=sink), jobs.load_curated(spark, processed, NOW, sink=sink),
+                   jobs.generate_metrics(spark, processed, metrics, NOW, sink=sink)):
+        assert {r.target.split("/")[0] for r in jobs.require_ok("load", status).collect()} == {"warehouse"}
+    assert taken == {"apartments": 2, "apartment_attributes": 2, "user_viewings": 2, "bookings": 2, "curated_apartments": 2,
+                     "curated_apartment_details": 2, "curated_user_activity": 4, "presentation_metrics": 1}
+
+
 def test_fan_out_keeps_order(spark):
     status = jobs.fan_out(spark, ["b", "a"], lambda n: Audit(n, 1, ""))
     assert [r["table"] for r in status.collect()] == ["b", "a"]

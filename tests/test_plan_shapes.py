@@ -1,13 +1,16 @@
 """The physical plans keep the shapes that large data needs."""
 
 import re
+from datetime import datetime
 
 import pytest
 from conftest import collect
 from pyspark.sql import functions as F
 
+from hostelry.operators.periods import lookback
+from hostelry.operators.repeat import rolling_counts
 from hostelry.plans import engagement, rental
-from hostelry.queries import Data
+from hostelry.queries import Data, queries
 from hostelry.schemas import TABLES
 
 SMALL = "/root/testdata/sf0.001"
@@ -78,3 +81,50 @@ def test_hot_listing_is_split(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a plan gave, after it ran."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        else:
+            if name.startswith("Scan"):
+                total += node.metrics().apply("numOutputRows").value()
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_time_bounds_skip_stored_rows(spark, tmp_path):
+    """Files sorted by time are read from the bound on only."""
+    data = Data(spark, "/root/testdata/sf0.01")
+    activity = data.activity.drop("source_id").repartitionByRange(16, "activity_date").sortWithinPartitions("activity_date")
+    activity.write.parquet(str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    n = stored.count()
+    recent = lookback(stored, "activity_date", datetime(1998, 6, 30), 30).select("activity_date")
+    assert 0 < recent.count() <= scanned_rows(recent) < n / 4
+    since = data.latest_week(stored)
+    history = engagement.user_booking_history(stored, data.details.limit(0), since=since)
+    assert history.count() > 0
+    week = stored.where(F.col("activity_date") >= since.cast("timestamp")).select("activity_date")
+    assert 0 < week.count() <= scanned_rows(week) < n / 8
+
+
+def test_rolling_count_shuffles_its_steps_once(spark):
+    df = Data(spark, SMALL).raw("bookings").select("id", "user_id", "booking_date")
+    out = rolling_counts(df)
+    out.collect()
+    assert "ReusedExchange" in plan(out)
+
+
+def test_bucketed_join_has_no_shuffle_before_the_join(spark):
+    text = plan(queries()["bucketed_join"](spark, SMALL))
+    assert "SortMergeJoin" in text and "Exchange" not in text

@@ -5,6 +5,7 @@ from conftest import collect
 from pyspark.sql import functions as F
 
 from hostelry.operators import ranking
+from hostelry.plans import insights
 
 W1, W2 = date(2024, 1, 1), date(2024, 1, 8)
 
@@ -31,6 +32,17 @@ def test_top_totals_and_semi_join(rows):
     assert ranking.keep_keys(df, top, "city").count() == 3
 
 
+def test_missing_city_takes_no_place_and_a_name_is_one_city(rows):
+    places = rows("week_start_date date, city string, state string, total_bookings long",
+                  (W1, None, None, 99), (W1, "A", "x", 3), (W1, "A", "y", 2), (W2, "B", "x", 4), (W2, "C", "x", 1))
+    wide = insights.city_trends(places, 2)
+    assert wide.columns == ["week_start_date", "A", "B"]
+    assert collect(wide, "week_start_date") == [(W1, 5, None), (W2, None, 4)]
+    ranked = insights.ranked_city_trends(places, 2)
+    assert ranked.columns == ["week_start_date", "city_1", "bookings_1", "city_2", "bookings_2"]
+    assert collect(ranked, "week_start_date") == [(W1, "A", 5, None, None), (W2, None, None, "B", 4)]
+
+
 def test_pivot_fills_and_rejects_repeats(rows):
     schema = "w date, city string, n int"
     wide = ranking.pivot_unique(rows(schema, (W1, "a", 1), (W2, "b", 2)), "w", "city", "n", ["a", "b"])

@@ -29,6 +29,11 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 1
 
 
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_statement_can_be_stored_as_a_view(duck, name):
+    duck.execute(f"CREATE OR REPLACE TEMP VIEW stored AS {entry.oracle_sql()[name]}")
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_same_answer(spark, duck, name):
     df = entry.queries()[name](spark, SMALL)
