@@ -13,6 +13,7 @@ and such strings are compared in full within their run.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,8 +62,38 @@ def _anchors(data: bytes, gap: int) -> tuple[np.ndarray, np.ndarray]:
     return lowest[first], first
 
 
+def _thinned(data: bytes, x: np.ndarray, lo: np.ndarray, length: int, gap: int) -> tuple[np.ndarray, ...]:
+    """x and lo without the anchors inside long repetitions, and those repetitions: begin, end, period.
+
+    Where one short word is repeated over and over, every repeat has an anchor.  Strings
+    inside such a stretch of more than the threshold and a period occur again one period
+    on, so no anchor is needed to know it; anchors stay where a string can reach out of
+    the stretch, and at its begin, where its strings can be met by shorter stretches.
+    """
+    found: list[tuple[int, int, int]] = []
+    keep = np.ones(len(x), bool)
+    steps = np.diff(x)
+    edges = np.r_[0, np.flatnonzero(steps[1:] != steps[:-1]) + 1, len(steps)]
+    even = steps[edges[:-1]] if len(steps) else steps
+    long = (even <= gap // 4) & (even * np.diff(edges)[: len(even)] > 2 * (length + even))
+    for k in np.flatnonzero(long).tolist():
+        period = int(even[k])
+        margin = length + period
+        begin, end = int(x[edges[k]]), int(x[edges[k + 1]])
+        if data[begin : end - period] != data[begin + period : end]:
+            continue
+        while begin and data[begin - 1] == data[begin - 1 + period]:
+            begin -= 1
+        while end < len(data) and data[end] == data[end - period]:
+            end += 1
+        keep &= (x <= begin + margin) | (x >= end - margin)
+        found.append((begin, end, period))
+    begin, end, period = np.array(sorted(set(found)), np.int32).reshape(-1, 3).T
+    return x[keep], lo[keep], begin, end, period
+
+
 def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap: int) -> DataFrame:
-    """Per document of at least ``length`` bytes: docno, keys, size, anchors x, their first stretch lo, and phrase hashes."""
+    """Per document of at least ``length`` bytes: docno, keys, size, anchors x, their first stretch lo, long repetitions, and phrase hashes."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -71,18 +102,18 @@ def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap
                 data = row.text.encode("utf-8")
                 if len(data) < length:
                     continue
-                x, lo = _anchors(data, gap)
+                x, lo, begin, end, period = _thinned(data, *_anchors(data, gap), length, gap)
                 ends = x.tolist()
                 digests = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(ends, ends[1:])])
                 halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                rows.append((row.docno, row.id_key, row.text_key, len(data), x.astype(np.int32), lo.astype(np.int32), halves[:, 0], halves[:, 1]))
-            yield pd.DataFrame(rows, columns=["docno", "id_key", "text_key", "size", "x", "lo", "f1", "f2"])
+                rows.append((row.docno, row.id_key, row.text_key, len(data), x.astype(np.int32), lo.astype(np.int32), begin, end, period, halves[:, 0], halves[:, 1]))
+            yield pd.DataFrame(rows, columns=["docno", "id_key", "text_key", "size", "x", "lo", "begin", "end", "period", "f1", "f2"])
 
     source = docs.select(
         F.monotonically_increasing_id().alias("docno"), id_key(id_column).alias("id_key"),
         text_key(text_column).alias("text_key"), whole_text(text_column).alias("text"),
     )
-    schema = "docno long, id_key long, text_key long, size long, x array<int>, lo array<int>, f1 array<long>, f2 array<long>"
+    schema = "docno long, id_key long, text_key long, size long, x array<int>, lo array<int>, begin array<int>, end array<int>, period array<int>, f1 array<long>, f2 array<long>"
     return stored(source.mapInPandas(cut, schema), "phrases")
 
 
@@ -113,10 +144,9 @@ def _doubled(phrases: DataFrame, length: int, gap: int) -> DataFrame:
     A run that spans the threshold and a gap grows no more: such runs cover all strings
     inside a repeated stretch.
     """
-    cut = F.posexplode(F.arrays_zip(
-        F.slice("x", 1, F.size("f1")).alias("x"), F.slice("x", 2, F.size("f1")).alias("y"), "f1", "f2"
-    )).alias("i", "p")
-    runs = _rank(phrases.select("docno", cut).select("docno", "i", "p.*"), ["f1", "f2"], "0")
+    cut = phrases.select("docno", "x", "f2", F.posexplode("f1").alias("i", "first"))
+    cut = cut.select("docno", "i", F.get("x", "i").alias("x"), F.get("x", F.col("i") + 1).alias("y"), F.col("first").alias("f1"), F.get("f2", "i").alias("f2"))
+    runs = _rank(cut, ["f1", "f2"], "0")
     found = [runs]
     while True:
         step = 2 ** (len(found) - 1)
@@ -168,43 +198,49 @@ def _gathered(marks: DataFrame) -> DataFrame:
 
 
 _MARKS = ["level", "i", "name", "n", "canon"]
-_LAYOUT = ["size", "x", "lo", *_MARKS]
+_PLACES = ["size", "x", "lo", "begin", "end", "period"]
+_LAYOUT = [*_PLACES, *_MARKS]
 
 
 class _Document:
     """What the ranks say about the strings of one document of ``size`` bytes."""
 
-    def __init__(self, size, x, lo, level, i, name, n, canon, length: int, gap: int):
+    def __init__(self, size, x, lo, begin, end, period, level, i, name, n, canon, length: int, gap: int):
         self.size, self.x, self.lo, self.length = size, x.astype(np.int64), lo.astype(np.int64), length
         self.reach = length - GRAM - gap + 1  # from the first stretch of a string to its last
         self.starts = size - length + 1
-        self.level, self.i, self.name, self.n, self.canon = level, i, name, n, canon.astype(bool)
-        begin, end = self.x[i], self.x[np.minimum(i + (1 << level), len(x) - 1)]
-        whole = np.flatnonzero(end - begin >= length)
-        self.runs = begin[whole], end[whole] - length + 1, n[whole], self.canon[whole]
+        self.level, self.i, self.name, self.n, self.canon = level, i, name, n, canon
+        first, last = self.x[i], self.x[np.minimum(i + (1 << level), len(x) - 1)]
+        whole = np.flatnonzero(last - first >= length)
+        self.runs = first[whole], last[whole] - length + 1, n[whole], canon[whole].astype(bool)
         self.known = self._cover(*self.runs[:2])
+        # The strings of a long repetition are known; those of its first period stand for all.
+        self.first_periods = begin, begin + period
+        if len(begin):
+            self.known |= self._cover(begin, end - length + 1)
 
     def _cover(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The starts from any begin to before its end."""
         steps = np.bincount(begin, minlength=self.starts + 1) - np.bincount(end, minlength=self.starts + 1)
         return np.cumsum(steps[:-1]) > 0
 
-    def _stretches(self):
-        """Starts with one run of repeated phrases from anchor i to anchor j, and whether any is undecided."""
-        cuts = np.unique(np.concatenate([[0, self.starts], self.lo, self.lo - self.reach]))
-        cuts = cuts[(cuts >= 0) & (cuts <= self.starts)]
-        s, e = cuts[:-1], cuts[1:]
+    def _stretches(self) -> tuple[np.ndarray, ...]:
+        """Starts s..e-1 whose strings go from anchor i to anchor j, whether all its phrases repeat, whether any start is undecided."""
+        cuts = np.concatenate([[0], self.lo, self.lo - self.reach])
+        cuts = np.sort(cuts[(cuts >= 0) & (cuts < self.starts)])
+        s = cuts[np.r_[True, cuts[1:] != cuts[:-1]]]
         i = np.searchsorted(self.lo, s, "right") - 1
         j = np.searchsorted(self.lo, s + self.reach, "right") - 1
         alone = np.ones(len(self.x) + 1, np.int64)
         alone[self.i[self.level == 0]] = 0
         before = np.r_[0, np.cumsum(alone)]
-        open_ = np.r_[0, np.cumsum(~self.known)]
-        chained = before[j] == before[i]
-        return [v[chained] for v in (s, e, i, j, open_[e] > open_[s])]
+        e = np.r_[s[1:], self.starts]
+        # In the middle of a long repetition the anchors before a string are not in it.
+        within = (self.x[i] >= e - 1) & (self.x[j] >= e - 1 + self.reach)
+        return s, e, i, j, within & (before[j] == before[i]), np.bitwise_or.reduceat(~self.known, s)
 
     def promising(self) -> bool:
-        return bool(self.known.any()) or bool(len(self._stretches()[0]))
+        return bool(self.known.any()) or bool(self._stretches()[4].any())
 
     def stretches(self) -> list[tuple[int, int, int, int, bytes, bool]]:
         """(s, e, a, b, key, ask): the starts s..e-1 whose strings share the run from anchor a to anchor b.
@@ -214,32 +250,37 @@ class _Document:
         run occurs no oftener than the known one: then each of its copies lies in a copy
         of the known run, and none of them can be undecided.
         """
-        s, e, i, j, ask = self._stretches()
-        shown = np.zeros(self.starts, bool)
-        most = np.zeros(self.starts, np.int64)
+        s, e, i, j, chained, ask = self._stretches()
+        most = np.zeros(self.starts, np.int64)  # copies of a known run here; -1 where no start stands for any
         begin, end, count, canon = self.runs
-        if canon.any():
-            shown = self._cover(begin[canon], end[canon])
+        use = ask
+        if canon.any() or len(self.first_periods[0]):
+            shown = self._cover(begin[canon], end[canon]) | self._cover(*self.first_periods)
+            use = ask | np.bitwise_or.reduceat(shown, s)
             order = np.argsort(count, kind="stable")
             for a, b, n in zip(begin[order].tolist(), end[order].tolist(), count[order].tolist()):
                 most[a:b] = n
-        shows = np.r_[0, np.cumsum(shown)]
-        use = ask | (shows[e] > shows[s])
-        if not use.any():
+            for a, b in zip(*(v.tolist() for v in self.first_periods)):
+                most[a:b] = 0
+        use = np.flatnonzero(use & chained)
+        if not len(use):
             return []
-        names = np.full((KEY_LEVEL + 1, len(self.x)), -1, np.int64)
-        counts = np.zeros((KEY_LEVEL + 1, len(self.x)), np.int64)
         low = self.level <= KEY_LEVEL
+        names, counts = np.full((2, KEY_LEVEL + 1, len(self.x)), -1, np.int64)
         names[self.level[low], self.i[low]] = self.name[low]
         counts[self.level[low], self.i[low]] = self.n[low]
+        names, counts, x = names.tolist(), counts.tolist(), self.x.tolist()
+        least = np.minimum.reduceat(most, s)[use]
         out = []
-        for s, e, i, j, ask in zip(*(v[use].tolist() for v in (s, e, i, j, ask))):
+        for s, e, i, j, ask, copies in zip(*(v[use].tolist() for v in (s, e, i, j, ask)), least.tolist()):
             level = min(KEY_LEVEL, (j - i).bit_length() - 1)
-            parts = [*range(i, j - (1 << level), 1 << level), j - (1 << level)]
-            inner = names[level, parts]
-            if (inner < 0).any() or not ask and most[s:e].min() >= counts[level, parts].min():
+            last = j - (1 << level)
+            parts = (last,) if last == i else (*range(i, last, 1 << level), last)
+            own = names[level]
+            inner = [own[k] for k in parts]
+            if min(inner) < 0 or not ask and copies >= min(counts[level][k] for k in parts):
                 continue
-            out.append((s, e, int(self.x[i]), int(self.x[j]), (j - i).to_bytes(8, "little") + inner.tobytes(), ask))
+            out.append((s, e, x[i], x[j], struct.pack(f"<{len(inner) + 1}q", j - i, *inner), ask))
         return out
 
 
@@ -251,11 +292,10 @@ def _promising(length: int, gap: int):
     """Whether a document may have a repeated string, from its ranks alone."""
 
     @F.pandas_udf("boolean")
-    def promising(size: pd.Series, x: pd.Series, lo: pd.Series, level: pd.Series, i: pd.Series, name: pd.Series, n: pd.Series, canon: pd.Series) -> pd.Series:
-        found = (_Document(*v, length, gap) for v in zip(size, x, lo, level, i, name, n, canon))
-        return pd.Series([d.promising() for d in found], dtype=bool)
+    def promising(layout: pd.DataFrame) -> pd.Series:
+        return pd.Series([d.promising() for d in _documents(layout, length, gap)], dtype=bool)
 
-    return promising(*_LAYOUT)
+    return promising(F.struct(*_LAYOUT))
 
 
 _CONTEXT = ["key", "before", "after", "least"]
@@ -271,17 +311,19 @@ def _contexts(candidates: DataFrame, length: int, gap: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, digests = [], []
+            made: dict[str, list] = {c: [] for c in [*_CONTEXT, "docno", "s", "ask", "copies"]}
+            key_, before_, after_, least_, docno_, s_, ask_, copies_ = (made[c].append for c in made)
+            digests = []
             for text, docno, copies, document in zip(batch.text, batch.docno, batch.copies, _documents(batch, length, gap)):
                 data = text.encode("utf-8")
                 for s, e, a, b, key, ask in document.stretches():
                     before, after, least = data[s:a], data[b : e - 1 + length], a - e + 1
                     sizes = len(key) << 64 | len(before) << 32 | least
                     digests.append(xxhash.xxh3_128_digest(sizes.to_bytes(16, "little") + key + before + after))
-                    rows.append((key, before, after, least, docno, s, ask, copies))
-            made = pd.DataFrame(rows, columns=[*_CONTEXT, "docno", "s", "ask", "copies"])
+                    key_(key), before_(before), after_(after), least_(least)
+                    docno_(docno), s_(s), ask_(ask), copies_(copies)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            yield made.assign(h1=halves[:, 0], h2=halves[:, 1])
+            yield pd.DataFrame(made | {"h1": halves[:, 0], "h2": halves[:, 1]})
 
     schema = "key binary, before binary, after binary, least int, docno long, s int, ask boolean, copies long, h1 long, h2 long"
     return candidates.select("docno", "text", "copies", *_LAYOUT).mapInPandas(emit, schema)
@@ -446,7 +488,7 @@ def remove_repeats(
         raise ValueError("a string of the given length must hold two anchors")
     phrases = _phrases(docs, id_column, text_column, length, gap)
     marks = _doubled(phrases, length, gap)
-    ranked = phrases.select("docno", "size", "x", "lo").join(marks, "docno")
+    ranked = phrases.select("docno", *_PLACES).join(marks, "docno")
     copies = phrases.groupBy("id_key", "text_key").agg(F.min("docno").alias("docno"), F.count("*").alias("copies"))
     wanted = stored(
         ranked.join(copies, "docno").where(_promising(length, gap)).withColumnsRenamed({"id_key": "i_key", "text_key": "t_key"}), "wanted"
