@@ -32,6 +32,7 @@ END_TOKEN = 1
 GRID = 8
 PARTS = 3
 RANK_ROWS = 50_000  # rows ranked in one group, about
+PIECE_BATCH = 200  # texts of one Arrow batch while ids are written
 LONG_WORD = 2000  # texts with longer words or blank runs are left to the tokenizer library
 _LONG = regex.compile(r"\S{%d}|\s{%d}" % (LONG_WORD, LONG_WORD))
 
@@ -46,7 +47,7 @@ class Encoder:
 
     def __init__(self, path: str):
         vocab = vocabulary(path)
-        self.library = vocab.library
+        self.vocab = vocab
         ordered = np.array_equal(np.sort(vocab.made_by), vocab.made_by) and vocab.made_by.min() > vocab.byte_ids.max()
         self.fast = tiktoken.Encoding(
             "vocabulary", pat_str=PATTERN, mergeable_ranks=vocab.id_of, special_tokens=vocab.special
@@ -54,7 +55,7 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or OTHER_CODE_POINTS.search(text) or _LONG.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.array(self.vocab.library.encode(text, add_special_tokens=False).ids, "<u4")
         return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
 
 
@@ -64,8 +65,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _pieces(docs: DataFrame, path: str, id_column: str, text_column: str, window: int, end_token: int) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens and ids of each piece, and ``row``, a number of its own."""
+def _pieces(docs: DataFrame, path: str, id_column: str, text_column: str, window: int, end_token: int, with_ids: bool) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens and ids of each piece, and ``row``, a number of its own.
+
+    Only a remainder may be cut later, so whole windows have ids on demand alone.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -74,12 +78,12 @@ def _pieces(docs: DataFrame, path: str, id_column: str, text_column: str, window
                 ids = np.append(encoder(path).encode(row.text), np.uint32(end_token)).astype("<u4")
                 for start in range(0, len(ids), window):
                     data = ids[start : start + window].tobytes()
-                    rows.append((row.doc_id, start, len(data) // 4, zlib.crc32(data), len(ids), data))
+                    rows.append((row.doc_id, start, len(data) // 4, zlib.crc32(data), len(ids), data if with_ids or len(data) < 4 * window else None))
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-    return stored(source.mapInPandas(cut, schema).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    return stored(source.mapInPandas(cut, schema).withColumn("row", F.monotonically_increasing_id()), "pieces", batch_rows=PIECE_BATCH)
 
 
 def patterns(units: int, parts: int) -> list[tuple[int, ...]]:
@@ -224,7 +228,7 @@ def pack_documents(
     ids as little-endian unsigned 32-bit integers, come on demand.  Rows with one doc_id
     are packed each; other columns are not read; an empty table gives no rows.
     """
-    pieces = _pieces(docs, vocabulary_path, id_column, text_column, window, end_token)
+    pieces = _pieces(docs, vocabulary_path, id_column, text_column, window, end_token, with_ids)
     digests = pieces.drop("ids")
     remainders = digests.where(F.col("length") < window)
     histogram = {r["length"]: r["count"] for r in remainders.groupBy("length").count().collect()}
