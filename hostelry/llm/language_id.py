@@ -50,8 +50,11 @@ def has_letter(text: str) -> bool:
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Shared n-grams of each pair of rows, over the geometric mean of their numbers; 1 for equal sets."""
-    sizes = np.sqrt(np.outer(np.maximum(1, a.sum(axis=1)), np.maximum(1, b.sum(axis=1))))
-    return (a.astype(np.float32) @ b.astype(np.float32).T) / sizes
+    bins = b.any(axis=0)
+    base = b[:, bins].astype(np.float32).T
+    parts = [a[k : k + 256] for k in range(0, len(a), 256)]
+    shared = np.concatenate([part[:, bins].astype(np.float32) @ base for part in parts])
+    return shared / np.sqrt(np.outer(np.maximum(1, a.sum(axis=1)), np.maximum(1, b.sum(axis=1))))
 
 
 @dataclass
@@ -143,8 +146,9 @@ def train(
     sample = stored(picked.mapInPandas(read, "draw long, lang string, flags binary"), "sample").orderBy("draw", "lang", "flags").collect()
     if not sample:
         return Model([], np.zeros(BINS, bool), np.zeros((0, 0), np.float32), np.zeros(0), np.zeros((0, 0)))
-    flags = np.unpackbits(np.frombuffer(b"".join(bytes(r["flags"]) for r in sample), np.uint8).reshape(len(sample), -1), axis=1).astype(bool)
-    return fit(flags, [r["lang"] for r in sample], landmarks, ridge)
+    names = [r["lang"] for r in sample]
+    packed = np.frombuffer(b"".join(bytes(r["flags"]) for r in sample), np.uint8).reshape(len(sample), -1)
+    return fit(np.unpackbits(packed, axis=1).view(bool), names, landmarks, ridge)
 
 
 def language_id(
