@@ -181,7 +181,9 @@ def _possibly_repeated(index: LineIndex, postings: DataFrame, group_lines: int)
     dealt over several copies of its filter, so each group stays bounded.
     """
     placed = postings.withColumn("shard", F.pmod(F.col("h2"), F.lit(index.shards)))
-    copies = placed.groupBy("shard").agg((F.floor(F.count("*") / group_lines) + 1).alias("copies"))
+    # One row per shard, written first so that Spark knows its size: while it is small, no line
+    # is shuffled to look its shard up.
+    copies = stored(placed.groupBy("shard").agg((F.floor(F.count("*") / group_lines) + 1).alias("copies")), "copies")
     filters = index.filters.join(copies, "shard").select(
         "shard", "buckets", "marks", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
     )
