@@ -19,7 +19,7 @@ COSINE = 0.98
 PLANES = 20
 TABLES = 24
 SEED = 20
-CHUNK = 512  # rows of a bucket that are compared in one block
+CHUNK = 256  # rows of a bucket that are compared in one block
 
 BLOCK = ["label", "dim", "t", "key", "a", "b"]
 
