@@ -98,14 +98,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str, ranges: int | None = None) -> DataFrame:
     """A stored copy of ``df`` with a distinct integer ``name`` that follows ``order``.
 
     The frame is range-partitioned and sorted; an id is the partition number and the
-    position in it, so no task sees more than its range.
+    position in it, so no task sees more than its range.  Neighbouring ranges of a small
+    frame may be put together, to ``ranges`` at most.
     """
-    ranked = df.orderBy(*order).withColumn("name", F.monotonically_increasing_id())
-    return stored(ranked, name)
+    sorted_ = df.orderBy(*order).coalesce(ranges) if ranges else df.orderBy(*order)
+    return stored(sorted_.withColumn("name", F.monotonically_increasing_id()), name)
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

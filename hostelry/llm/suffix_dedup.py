@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import discard, id_key, numbered, stored, text_key, whole_text
@@ -93,7 +93,11 @@ def _thinned(data: bytes, x: np.ndarray, lo: np.ndarray, length: int, gap: int)
 
 
 def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap: int) -> DataFrame:
-    """Per document of at least ``length`` bytes: docno, keys, size, anchors x, their first stretch lo, long repetitions, and phrase hashes."""
+    """Per different text of at least ``length`` bytes: docno, keys, copies, size, anchors x, their first stretch lo, long repetitions, phrase hashes.
+
+    Equal texts are one row, that of the least docno, with their number: all of such a
+    text goes, and the text itself is only needed to be met by others.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -106,18 +110,35 @@ def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap
                 ends = x.tolist()
                 digests = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(ends, ends[1:])])
                 halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                rows.append((row.docno, row.id_key, row.text_key, len(data), x.astype(np.int32), lo.astype(np.int32), begin, end, period, halves[:, 0], halves[:, 1]))
-            yield pd.DataFrame(rows, columns=["docno", "id_key", "text_key", "size", "x", "lo", "begin", "end", "period", "f1", "f2"])
+                rows.append((row.docno, row.id_key, row.k1, row.k2, len(data), x.astype(np.int32), lo.astype(np.int32), begin, end, period, halves[:, 0], halves[:, 1]))
+            yield pd.DataFrame(rows, columns=["docno", "id_key", "k1", "k2", "size", "x", "lo", "begin", "end", "period", "f1", "f2"])
 
     source = docs.select(
         F.monotonically_increasing_id().alias("docno"), id_key(id_column).alias("id_key"),
-        text_key(text_column).alias("text_key"), whole_text(text_column).alias("text"),
+        text_key(text_column).alias("k1"), _second_key(text_column).alias("k2"), whole_text(text_column).alias("text"),
     )
-    schema = "docno long, id_key long, text_key long, size long, x array<int>, lo array<int>, begin array<int>, end array<int>, period array<int>, f1 array<long>, f2 array<long>"
-    return stored(source.mapInPandas(cut, schema), "phrases")
+    schema = "docno long, id_key long, k1 long, k2 long, size long, x array<int>, lo array<int>, begin array<int>, end array<int>, period array<int>, f1 array<long>, f2 array<long>"
+    rows = stored(source.mapInPandas(cut, schema), "cut")
+    texts = rows.groupBy("k1", "k2").agg(F.min("docno").alias("least"), F.count("*").alias("copies"))
+    different = stored(rows.join(texts.select("least", "copies"), F.col("docno") == F.col("least")).drop("least"), "phrases")
+    discard(rows)
+    return different
+
+
+def _second_key(text_column: str) -> Column:
+    """With ``text_key`` 128 bits that stand for a text."""
+    return F.xxhash64(whole_text(text_column), F.lit(1))
+
+
+FILE_ROWS = 200_000  # rows of one file of a table of runs, at least about
+
 
+def _files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in no more partitions than they are worth."""
+    return df.coalesce(1 + rows // FILE_ROWS)
 
-def _rank(runs: DataFrame, key: list[str], label: str) -> DataFrame:
+
+def _rank(runs: DataFrame, key: list[str], label: str, most: int) -> DataFrame:
     """The runs whose key occurs again, with the rank of the key as ``name`` and its count n.
 
     canon marks one occurrence (two, should the hash of their places agree).  Counting
@@ -125,15 +146,15 @@ def _rank(runs: DataFrame, key: list[str], label: str) -> DataFrame:
     documents is no single task's work.
     """
     place = F.xxhash64("docno", "i")
-    groups = runs.groupBy(*[F.col(c).alias(f"k_{c}") for c in key]).agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    ranks = numbered(groups.where("n > 1"), [f"k_{c}" for c in key], f"ranks-{label}")
+    groups = runs.groupBy(*[F.col(c).alias(f"k_{c}") for c in key]).agg(F.sum("copies").alias("n"), F.min(place).alias("first"))
+    ranks = numbered(groups.where("n > 1"), [f"k_{c}" for c in key], f"ranks-{label}", 1 + most // FILE_ROWS)
     condition = F.lit(True)
     for c in key:
         condition = condition & (runs[c] == ranks[f"k_{c}"])
     found = runs.join(ranks.withColumnRenamed("name", "rank"), condition).select(
-        "docno", "i", "x", "y", F.col("rank").alias("name"), "n", (place == F.col("first")).alias("canon"),
+        "docno", "copies", "i", "x", "y", F.col("rank").alias("name"), "n", (place == F.col("first")).alias("canon"),
     )
-    kept = stored(found, f"runs-{label}")
+    kept = stored(_files(found, most), f"runs-{label}")
     discard(ranks)
     return kept
 
@@ -144,22 +165,23 @@ def _doubled(phrases: DataFrame, length: int, gap: int) -> DataFrame:
     A run that spans the threshold and a gap grows no more: such runs cover all strings
     inside a repeated stretch.
     """
-    cut = phrases.select("docno", "x", "f2", F.posexplode("f1").alias("i", "first"))
-    cut = cut.select("docno", "i", F.get("x", "i").alias("x"), F.get("x", F.col("i") + 1).alias("y"), F.col("first").alias("f1"), F.get("f2", "i").alias("f2"))
-    runs = _rank(cut, ["f1", "f2"], "0")
+    cut = phrases.select("docno", "copies", "x", "f2", F.posexplode("f1").alias("i", "first"))
+    cut = cut.select("docno", "copies", "i", F.get("x", "i").alias("x"), F.get("x", F.col("i") + 1).alias("y"), F.col("first").alias("f1"), F.get("f2", "i").alias("f2"))
+    total = phrases.agg(F.sum(F.size("f1"))).first()[0] or 0
+    runs = _rank(cut, ["f1", "f2"], "0", total)
     found = [runs]
-    while True:
+    count = runs.count()
+    while count:
         step = 2 ** (len(found) - 1)
         ahead = Window.partitionBy("docno").orderBy("i").rangeBetween(step, step)
         longer = runs.withColumns({"next": F.max("name").over(ahead), "end": F.max("y").over(ahead)}).where(
             F.col("next").isNotNull() & (F.col("y") - F.col("x") < length + gap)
-        ).select("docno", "i", "x", F.col("end").alias("y"), "name", "next")
-        pairs = stored(longer, f"pairs-{len(found)}")
-        runs = _rank(pairs, ["name", "next"], str(len(found)))
+        ).select("docno", "copies", "i", "x", F.col("end").alias("y"), "name", "next")
+        pairs = stored(_files(longer, count), f"pairs-{len(found)}")
+        runs = _rank(pairs, ["name", "next"], str(len(found)), count)
         discard(pairs)
-        if runs.isEmpty():
-            break
         found.append(runs)
+        count = runs.count()
     every = None
     for level, runs in enumerate(found):
         # Longer runs name nothing; they matter where they hold a whole string.
@@ -199,14 +221,14 @@ def _gathered(marks: DataFrame) -> DataFrame:
 
 _MARKS = ["level", "i", "name", "n", "canon"]
 _PLACES = ["size", "x", "lo", "begin", "end", "period"]
-_LAYOUT = [*_PLACES, *_MARKS]
+_LAYOUT = ["copies", *_PLACES, *_MARKS]
 
 
 class _Document:
-    """What the ranks say about the strings of one document of ``size`` bytes."""
+    """What the ranks say about the strings of one text of ``size`` bytes that ``copies`` documents have."""
 
-    def __init__(self, size, x, lo, begin, end, period, level, i, name, n, canon, length: int, gap: int):
-        self.size, self.x, self.lo, self.length = size, x.astype(np.int64), lo.astype(np.int64), length
+    def __init__(self, copies, size, x, lo, begin, end, period, level, i, name, n, canon, length: int, gap: int):
+        self.copies, self.size, self.x, self.lo, self.length = copies, size, x.astype(np.int64), lo.astype(np.int64), length
         self.reach = length - GRAM - gap + 1  # from the first stretch of a string to its last
         self.starts = size - length + 1
         self.level, self.i, self.name, self.n, self.canon = level, i, name, n, canon
@@ -218,6 +240,8 @@ class _Document:
         self.first_periods = begin, begin + period
         if len(begin):
             self.known |= self._cover(begin, end - length + 1)
+        if copies > 1:
+            self.known[:] = True
 
     def _cover(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The starts from any begin to before its end."""
@@ -254,14 +278,16 @@ class _Document:
         most = np.zeros(self.starts, np.int64)  # copies of a known run here; -1 where no start stands for any
         begin, end, count, canon = self.runs
         use = ask
-        if canon.any() or len(self.first_periods[0]):
+        if self.copies > 1 or canon.any() or len(self.first_periods[0]):
             shown = self._cover(begin[canon], end[canon]) | self._cover(*self.first_periods)
-            use = ask | np.bitwise_or.reduceat(shown, s)
+            use = ask | np.bitwise_or.reduceat(shown, s) | (self.copies > 1)
             order = np.argsort(count, kind="stable")
             for a, b, n in zip(begin[order].tolist(), end[order].tolist(), count[order].tolist()):
                 most[a:b] = n
             for a, b in zip(*(v.tolist() for v in self.first_periods)):
                 most[a:b] = 0
+            if self.copies > 1:
+                most = np.maximum(most, self.copies)
         use = np.flatnonzero(use & chained)
         if not len(use):
             return []
@@ -314,19 +340,19 @@ def _contexts(candidates: DataFrame, length: int, gap: int) -> DataFrame:
             made: dict[str, list] = {c: [] for c in [*_CONTEXT, "docno", "s", "ask", "copies"]}
             key_, before_, after_, least_, docno_, s_, ask_, copies_ = (made[c].append for c in made)
             digests = []
-            for text, docno, copies, document in zip(batch.text, batch.docno, batch.copies, _documents(batch, length, gap)):
+            for text, docno, document in zip(batch.text, batch.docno, _documents(batch, length, gap)):
                 data = text.encode("utf-8")
                 for s, e, a, b, key, ask in document.stretches():
                     before, after, least = data[s:a], data[b : e - 1 + length], a - e + 1
                     sizes = len(key) << 64 | len(before) << 32 | least
                     digests.append(xxhash.xxh3_128_digest(sizes.to_bytes(16, "little") + key + before + after))
                     key_(key), before_(before), after_(after), least_(least)
-                    docno_(docno), s_(s), ask_(ask), copies_(copies)
+                    docno_(docno), s_(s), ask_(ask), copies_(document.copies)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pd.DataFrame(made | {"h1": halves[:, 0], "h2": halves[:, 1]})
 
     schema = "key binary, before binary, after binary, least int, docno long, s int, ask boolean, copies long, h1 long, h2 long"
-    return candidates.select("docno", "text", "copies", *_LAYOUT).mapInPandas(emit, schema)
+    return candidates.select("docno", "text", *_LAYOUT).mapInPandas(emit, schema)
 
 
 def _strings(before: bytes, after: bytes, least: int) -> Iterator[tuple[int, bytes]]:
@@ -488,24 +514,25 @@ def remove_repeats(
         raise ValueError("a string of the given length must hold two anchors")
     phrases = _phrases(docs, id_column, text_column, length, gap)
     marks = _doubled(phrases, length, gap)
-    ranked = phrases.select("docno", *_PLACES).join(marks, "docno")
-    copies = phrases.groupBy("id_key", "text_key").agg(F.min("docno").alias("docno"), F.count("*").alias("copies"))
-    wanted = stored(
-        ranked.join(copies, "docno").where(_promising(length, gap)).withColumnsRenamed({"id_key": "i_key", "text_key": "t_key"}), "wanted"
-    )
+    ranked = phrases.select("docno", F.col("id_key").alias("spoken"), "k1", "k2", "copies", *_PLACES).join(marks, "docno")
+    wanted = stored(ranked.where((F.col("copies") > 1) | _promising(length, gap)), "wanted")
     discard(phrases, marks)
-    text = whole_text(text_column)
-    source = docs.select(F.col(id_column).alias("doc_id"), id_key(id_column).alias("id_key"), text_key(text_column).alias("text_key"), text.alias("text"))
-    joined = source.join(wanted, (source["id_key"] == wanted["i_key"]) & (source["text_key"] == wanted["t_key"]), "left")
-    parted = stored(joined.drop("i_key", "t_key").withColumns({
-        "n_bytes": F.octet_length("text").cast("long"),
-        "whole_sha256": F.when(F.col("docno").isNull(), F.sha2("text", 256)),
-        "text": F.when(F.col("docno").isNotNull() | F.lit(with_text), F.col("text")),
-    }), "parted")
+    source = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), id_key(id_column).alias("id_key"), text_key(text_column).alias("text_key"),
+        _second_key(text_column).alias("second"), whole_text(text_column).alias("text"),
+    )
+    joined = source.join(wanted, (source["text_key"] == wanted["k1"]) & (source["second"] == wanted["k2"]), "left")
+    # A text of several documents is read once more at most, from the row that speaks for it.
+    several = F.coalesce(F.col("copies") > 1, F.lit(False))
+    read = F.col("docno").isNotNull() & (~several | (F.col("id_key") == F.col("spoken")))
+    parted = stored(joined.select(
+        "doc_id", "id_key", "text_key", "docno", *_LAYOUT, several.alias("several"), read.alias("read"),
+        F.octet_length("text").cast("long").alias("n_bytes"), F.when(F.col("docno").isNull(), F.sha2("text", 256)).alias("whole_sha256"),
+        F.when(read | (F.lit(with_text) & ~several), F.col("text")).alias("text"),
+    ), "parted")
     discard(wanted)
-    candidates = parted.where("docno IS NOT NULL")
-    # Rows that repeat an id and a text are all here; their contexts occur more than once either way.
-    spans = _repeated_starts(candidates, length, gap, split_rows)
+    spans = _repeated_starts(parted.where("read"), length, gap, split_rows)
+    candidates = parted.where("read AND NOT several")
     told = candidates.join(spans, candidates["docno"] == spans["doc"], "left")
     columns = ["doc_id", "id_key", "text_key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
 
@@ -522,14 +549,20 @@ def remove_repeats(
 
     schema = "doc_id long, id_key long, text_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
     stripped = told.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "id_key", "text_key", "n_bytes", *_LAYOUT, "text", "span_lo", "span_hi"
+        "doc_id", "id_key", "text_key", "n_bytes", *_LAYOUT, "text", "span_lo", "span_hi"
     ).mapInPandas(strip, schema)
-    none = F.lit(0).cast("long")
-    whole = parted.where("docno IS NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "id_key", "text_key", "n_bytes", none.alias("n_removed"),
-        none.alias("n_spans"), F.col("whole_sha256").alias("kept_sha256"), *([F.col("text").alias("kept_text")] * with_text),
+
+    def where_several(then: Column, otherwise: Column, name: str) -> Column:
+        return F.when(F.col("several"), then).otherwise(otherwise).alias(name)
+
+    zero = F.lit(0).cast("long")
+    decided = parted.where("several OR docno IS NULL").select(
+        "doc_id", "id_key", "text_key", "n_bytes", where_several(F.col("n_bytes"), zero, "n_removed"),
+        where_several(F.lit(1).cast("long"), zero, "n_spans"),
+        where_several(F.sha2(F.lit(""), 256), F.col("whole_sha256"), "kept_sha256"),
+        *([where_several(F.lit(""), F.col("text"), "kept_text")] * with_text),
     )
-    return whole.union(stripped)
+    return decided.union(stripped)
 
 
 def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
