@@ -15,6 +15,7 @@ from .language_id import language_id
 from .line_dedup import line_dedup
 from .packing import pack_documents
 from .periodic_runs import periodic_runs
+from .piecewise_hash import edit_likeness
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -64,6 +65,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(table(spark, folder, "documents")).drop("kept_text")
 
 
+def op11_piecewise_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_likeness(table(spark, folder, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs(table(spark, folder, "documents"), planted=True)
 
@@ -72,7 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_exact_dedup, op2_packing, op3_embedding_dedup, op4_bpe_codec, op5_suffix_dedup,
         op6_toxicity, op7_language_id, op8_token_counts, op9_simhash_dedup, op10_line_dedup,
-        op13_periodic_runs,
+        op11_piecewise_hash, op13_periodic_runs,
     ]
     return {f.__name__: f for f in listed}
 
