@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,19 @@ def _ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver to the executors, for ``shipped_file``; files of one name must be equal."""
+    name = Path(path).name
+    if not any(f.endswith(f"/{name}") for f in spark.sparkContext.listFiles):
+        spark.sparkContext.addFile(path)
+    return name
+
+
+def shipped_file(name: str) -> str:
+    """The place of a file of ``ship_file`` in a task."""
+    return SparkFiles.get(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One whole table of a data folder."""
     return session(spark).read.parquet(f"{folder}/{name}.parquet")

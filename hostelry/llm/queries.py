@@ -18,10 +18,12 @@ from .periodic_runs import periodic_runs
 from .piecewise_hash import edit_likeness
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
+from .token_alignment import align_tokens
 from .token_counts import token_counts
 from .toxicity import toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,6 +71,10 @@ def op11_piecewise_hash(spark: SparkSession, folder: str) -> DataFrame:
     return edit_likeness(table(spark, folder, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(spark, folder, "documents"), VOCABULARY, PIECES)
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs(table(spark, folder, "documents"), planted=True)
 
@@ -77,7 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_exact_dedup, op2_packing, op3_embedding_dedup, op4_bpe_codec, op5_suffix_dedup,
         op6_toxicity, op7_language_id, op8_token_counts, op9_simhash_dedup, op10_line_dedup,
-        op11_piecewise_hash, op13_periodic_runs,
+        op11_piecewise_hash, op12_token_alignment, op13_periodic_runs,
     ]
     return {f.__name__: f for f in listed}
 
