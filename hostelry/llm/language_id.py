@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import fold, stored, whole_text
@@ -16,6 +17,8 @@ ORDERS = (1, 2, 3)  # lengths of the n-grams of the blended spectrum
 BINS = 1 << 15  # n-grams are hashed into so many presence flags
 TRAINING_ROWS = 4000  # training rows of all languages together, at most about
 SEGMENT = 1024  # code points of the parts in which a text is read, at most
+MIN_SHARE = 0.002  # share of the rows that a language needs to be learned
+DRAWS = 1 << 62
 LANDMARKS = 160  # of those, the rows that span the model
 RIDGE = 1e-4
 FOLDS, HELD_OUT = 4, 2
@@ -117,24 +120,32 @@ def fit(flags: np.ndarray, names: list[str], landmarks: int, ridge: float) -> Mo
 
 def train(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-    rows: int = TRAINING_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE,
+    rows: int = TRAINING_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE, min_share: float = MIN_SHARE,
 ) -> Model:
     """A model from rows outside the held-out fold with a language and a letter in the text.
 
-    Fitted on a sample of about ``rows`` rows, the same number of each language as far
-    as they go, with one part of each text.  Rows and parts are taken by a hash, so the
-    sample spreads over the table and the texts; what comes to the driver is a bit per
-    n-gram bin and row.
+    Fitted on a sample of at most about ``rows`` rows, the same number of each language as far
+    as they go, with one part of each text.  Languages with less than ``min_share`` of the
+    rows are not learned, so there are at most 1 / min_share.  Rows and parts are taken by a hash, so the
+    sample spreads over the table and the texts; rows that repeat an id and a text are
+    one.  What comes to the driver is a bit per n-gram bin and row.
     """
+    text = whole_text(text_column)
     usable = docs.select(
-        F.col(id_column).cast("long").alias("id"), F.col(lang_column).alias("lang"), whole_text(text_column).alias("text")
+        F.col(id_column).cast("long").alias("id"), F.col(lang_column).alias("lang"), text.alias("text"),
+        F.pmod(F.xxhash64(F.col(id_column).cast("long"), text), F.lit(DRAWS)).alias("draw"),
     ).where(F.col("lang").isNotNull() & (fold("id", FOLDS) != HELD_OUT))
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
-    for lang, size in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, rows / len(sizes) / size)).otherwise(share)
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
-    picked = usable.withColumn("draw", draw).where(F.col("draw") < share * float(1 << 30))
+    counts = stored(usable.groupBy("lang").count(), "languages")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    frequent = counts.where(F.col("count") >= min_share * total)
+    each = max(1, math.ceil(rows / max(1, frequent.count())))
+    shares = frequent.select(F.col("lang").alias("known"), (float(each) / F.col("count") * float(DRAWS)).alias("below"))
+    drawn = usable.join(F.broadcast(shares), F.col("lang") == F.col("known")).where(F.col("draw") < F.col("below"))
+    # Of one language no more than its number, by the draw; equal rows are one.
+    ranked = drawn.select("lang", "draw").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw")))
+    keys = stored(ranked.where(F.col("rank") <= each).select(F.col("lang").alias("key_lang"), F.col("draw").alias("key_draw")), "keys")
+    chosen = (F.col("lang") == F.col("key_lang")) & (F.col("draw") == F.col("key_draw"))
+    picked = usable.join(F.broadcast(keys), chosen).dropDuplicates(["lang", "draw"]).select("id", "lang", "text", "draw")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -126,8 +126,8 @@ def _phrases(docs: DataFrame, id_column: str, text_column: str, length: int, gap
 
 
 def _second_key(text_column: str) -> Column:
-    """With ``text_key`` 128 bits that stand for a text."""
-    return F.xxhash64(whole_text(text_column), F.lit(1))
+    """With ``text_key`` 128 bits that stand for a text: the same hash from another seed."""
+    return F.xxhash64(F.lit(1), whole_text(text_column))
 
 
 FILE_ROWS = 200_000  # rows of one file of a table of runs, at least about
@@ -565,9 +565,15 @@ def remove_repeats(
     return decided.union(stripped)
 
 
-def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the repeated strings cut out of the text, all other columns as they were."""
-    kept = remove_repeats(docs, id_column, text_column, with_text=True)
+def drop_repeats(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, gap: int = GAP,
+) -> DataFrame:
+    """``docs`` with the repeated strings cut out of the text, all other columns as they were.
+
+    Every row stays, also one whose text is all cut; null texts stay null.  Of rows
+    that repeat a text of at least ``length`` bytes nothing is left in any; an empty table stays empty.
+    """
+    kept = remove_repeats(docs, id_column, text_column, length, gap, with_text=True)
     left = kept.groupBy(F.col("id_key").alias("_i"), F.col("text_key").alias("_k")).agg(F.max("kept_text").alias("_left"))
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("_rest"),
                        id_key(id_column).alias("_id"), text_key(text_column).alias("_text"), F.col(text_column).isNull().alias("_null"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -76,24 +77,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, per_class: int) -> DataFrame:
-    """label, words features and swapped features of a bounded share of the labelled rows.
+def _labelled(labels: DataFrame, id_column: str) -> DataFrame:
+    """labelled, toxic: one row per id outside the held-out fold; toxic if any of its labels says so."""
+    told = labels.select(F.col(id_column).cast("long").alias("labelled"), F.col("toxic").cast("int").alias("toxic"))
+    told = told.where("labelled IS NOT NULL AND toxic IN (0, 1)").groupBy("labelled").agg(F.max("toxic").alias("toxic"))
+    return stored(told.where(fold("labelled", FOLDS) != HELD_OUT), "labels")
+
+
+def _sample(docs: DataFrame, told: DataFrame, id_column: str, text_column: str, per_class: int) -> DataFrame:
+    """label, words features and swapped features of at most ``per_class`` rows of each class.
 
     Which rows is decided by a hash of the id, with the share of each class set by its
-    count, so that the sample spreads over all rows.  The ids are few by that bound, so
-    they can be broadcast.
+    count, so that the sample spreads over all rows.  Rows that repeat an id and a text
+    are one; of more rows than the bound those of lowest hash stay.  So ids and keys
+    are few, however often rows are repeated, and can be broadcast.
     """
-    told = labels.select(F.col(id_column).cast("long").alias("labelled"), F.col("toxic").cast("int").alias("toxic")).where(
-        "labelled IS NOT NULL AND toxic IN (0, 1)"
-    ).groupBy("labelled").agg(F.max("toxic").alias("toxic")).where(fold("labelled", FOLDS) != HELD_OUT)
-    told = stored(told, "labels")
     sizes = dict(tuple(r) for r in told.groupBy("toxic").count().collect())
     share = F.lit(0.0)
     for value, size in sizes.items():
         share = F.when(F.col("toxic") == value, min(1.0, per_class / size)).otherwise(share)
     chosen = told.where(F.pmod(F.xxhash64("labelled"), F.lit(1 << 30)) < share * float(1 << 30))
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), whole_text(text_column).alias("text"))
-    picked = rows.join(F.broadcast(chosen), F.col("id") == F.col("labelled")).select("toxic", "text")
+    text = whole_text(text_column)
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    keys = rows.join(F.broadcast(chosen), F.col("id") == F.col("labelled")).select("toxic", "id", "text_key").distinct()
+    order = F.xxhash64("id", "text_key")
+    bounded = [keys.where(F.col("toxic") == value).orderBy(order, "id", "text_key").limit(per_class) for value in (0, 1)]
+    few = stored(bounded[0].union(bounded[1]).withColumnsRenamed({"id": "few_id", "text_key": "few_key"}), "keys")
+    named = (F.col("id") == F.col("few_id")) & (F.col("text_key") == F.col("few_key"))
+    picked = rows.join(F.broadcast(few), named).dropDuplicates(["id", "text_key"]).select("toxic", "text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -192,11 +203,16 @@ def train(
 ) -> Model:
     """A model of labels.toxic from rows outside the held-out fold.
 
-    Fitted on a sample of about ``per_class`` rows of each class.  Null ids and labels
-    are left out; a doc_id labelled twice is toxic if either label says so.  Without
+    Fitted on a sample of at most ``per_class`` rows of each class.  Null ids and labels
+    are left out; a doc_id labelled twice is toxic if either label says so.  The fit
+    gives both classes the same weight; a text without any weighted feature, about
+    which the model knows nothing, gets the share of toxic labels at most.  So where no
+    feature is chosen, as in a table of few rows, every score is that share.  Without
     labels every score is 0; with one class only, every score is that class.
     """
-    sample = _sample(docs, labels, id_column, text_column, per_class)
+    told = _labelled(labels, id_column)
+    counts = dict(tuple(r) for r in told.groupBy("toxic").count().collect())
+    sample = _sample(docs, told, id_column, text_column, per_class)
     chosen = _chosen_features(sample, features)
     index = {f: i for i, f in enumerate(chosen)}
 
@@ -210,7 +226,7 @@ def train(
     if not len(rows) or toxic.min() == toxic.max():
         return Model(40.0 if len(rows) and toxic[0] else -40.0)
     bias, weights = fit([list(r["own"]) for r in rows], [r["swapped"] and list(r["swapped"]) for r in rows], toxic, len(chosen), swap_weight)
-    return Model(bias, dict(zip(chosen, weights.tolist())))
+    return Model(min(bias, math.log(counts[1] / counts[0])), dict(zip(chosen, weights.tolist())))
 
 
 def score_column(model: Model, text_column: str = "text") -> Column:
@@ -231,8 +247,9 @@ def toxicity(
 ) -> DataFrame:
     """One row per document row: doc_id, held_out, score (0 to 1), predicted (score >= 0.5).
 
-    Scores depend on the text alone.  Rows with one doc_id are scored each; an empty
-    table gives no rows; other columns are not read.
+    Scores depend on the text alone, null as the empty text.  Rows with one doc_id are
+    scored each; an empty table gives no rows; other columns are not read.  Small tables
+    and missing labels: see ``train``.
     """
     model = train(docs, labels, id_column, text_column, per_class, features, swap_weight)
     scored = docs.select(
@@ -242,7 +259,12 @@ def toxicity(
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows predicted toxic, all columns as they were."""
+    """``docs`` without the rows predicted toxic, all columns as they were.
+
+    Null texts are scored as empty ones; repeated rows stay or go together.  Without
+    labels, or with too few rows for any feature, all rows stay, unless toxic labels are in the
+    majority; an empty table stays empty.
+    """
     model = train(docs, labels, id_column, text_column)
     name = free_name(docs, "_score")
     return docs.withColumn(name, score_column(model, text_column)).where(F.col(name) < 0.5).drop(name)

@@ -20,7 +20,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert set(llm.oracle_sql()) <= set(entry.oracle_sql())
 
@@ -71,15 +71,15 @@ def test_stages_by_brute_force(spark):
             first = [i for i, least in enumerate(_reach(len(prints), near)) if i == least]
             assert after.equals(before.iloc[first].reset_index(drop=True))
         elif name == "suffix_dedup":
-            seen = {}
+            seen, size = {}, corpus_pipeline.PASSAGE_BYTES
             for i, t in zip(before.doc_id, before.text):
                 data = t.encode()
-                for p in range(len(data) - 399):
-                    seen.setdefault(data[p : p + 400], []).append((i, p))
+                for p in range(len(data) - size + 1):
+                    seen.setdefault(data[p : p + size], []).append((i, p))
             gone = {i: np.zeros(len(t.encode()), bool) for i, t in zip(before.doc_id, before.text)}
             for places in seen.values():
                 for i, p in places if len(places) > 1 else []:
-                    gone[i][p : p + 400] = True
+                    gone[i][p : p + size] = True
             left = [np.frombuffer(t.encode(), np.uint8)[~gone[i]].tobytes().decode(errors="ignore") for i, t in zip(before.doc_id, before.text)]
             assert after.text.tolist() == left and after.n_chars.tolist() == [len(t) for t in left]
             assert after.doc_id.tolist() == before.doc_id.tolist()
@@ -99,3 +99,25 @@ def test_whole_run(spark):
     packed = corpus_pipeline.run(spark, SMALL)
     assert packed.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert packed.count() > 0
+
+
+def _folder(spark, tmp_path, docs, labels):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("count", [0, 1, 30])
+def test_run_of_empty_and_tiny_tables(spark, tmp_path, count):
+    docs = [(i, f"tiny text {i} of the table, number {i * i} and {i * 7919}", "en", "s", 9) for i in range(count)]
+    folder = _folder(spark, tmp_path, docs, [(i, 1, int(i == 3)) for i in range(count)])
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert {r["doc_id"] for r in packed} == set(range(count))
+
+
+def test_run_of_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, copies and ids that repeat: every different text is packed."""
+    docs = [(None, None, None, None, None), (1, "", "x", "s", 0), (2, "same text here", "x", "s", 1), (2, "same text here", "x", "s", 1),
+            (3, "same  text\nhere", None, "s", 1), (4, "word " * 260_000, "x", "s", 1), (5, "z" * 300_000, "x", "s", 1), (6, "last of all", "x", "s", 1)]
+    packed = corpus_pipeline.run(spark, _folder(spark, tmp_path, docs, [(1, 1, 0), (None, 1, 1), (6, 0, None)])).collect()
+    assert {r["doc_id"] for r in packed} == {1, 2, 4, 5, 6}

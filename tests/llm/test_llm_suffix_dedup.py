@@ -72,6 +72,29 @@ def test_repeated_rows_null_ids_and_short_texts(rows):
     assert found == expected
 
 
+def test_texts_whose_first_keys_collide(rows, monkeypatch):
+    """Half of the 128 bits that stand for a text may agree for all texts."""
+    from pyspark.sql import functions as F
+
+    from hostelry.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "text_key", lambda column="text": F.lit(7).cast("long"))
+    texts = _corpus(9, "abcdefgh ", 60)
+    docs = rows(SCHEMA, *[(i, t, 1, "x", 2, "m", 3) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(docs, length=60, gap=24).collect()}
+    assert [got[i] for i in range(len(texts))] == _brute(texts, 60)
+
+
+def test_the_two_keys_of_a_text_are_not_functions_of_each_other(spark):
+    from pyspark.sql import functions as F
+
+    from hostelry.llm.suffix_dedup import _second_key
+
+    made = spark.range(200).select(F.col("id").cast("string").alias("text"))
+    chained = F.xxhash64(F.xxhash64("text")) == _second_key("text")
+    assert made.where(chained | (F.xxhash64("text", F.lit(1)) == _second_key("text"))).count() == 0
+
+
 def test_empty_table_and_too_wide_gap(spark, rows):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
     with pytest.raises(ValueError):
