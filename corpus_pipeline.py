@@ -14,28 +14,52 @@ from hostelry.llm.suffix_dedup import drop_repeats
 from hostelry.llm.toxicity import drop_toxic
 
 
+# A passage of more than 50 words is about 300 bytes long; the shared strings that go are a little shorter.
+PASSAGE_BYTES, PASSAGE_GAP = 256, 120
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier, trained on their labels, does not reject."""
+    """The documents that the classifier, trained on their labels, does not reject.
+
+    Null and empty texts are scored as empty; repeated rows stay or go together.  Where
+    nothing can be learned (no labels, too few rows) all stay; an empty table stays empty.
+    """
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of texts equal up to white space, the one of least doc_id.
+
+    Null counts as empty; rows without an id stay only where no row of the group has one;
+    of rows that repeat id and text one stays; an empty table stays empty.
+    """
     return drop_exact_duplicates(docs)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, the one of least doc_id.
+
+    Texts without words, null included, have one fingerprint and so are one group.  Null ids
+    and repeated rows are as in the exact stage; an empty table stays empty.
+    """
     return drop_near_duplicates(docs)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the long strings that occur elsewhere; n_chars counts what is left."""
-    return drop_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """All documents, without the strings of PASSAGE_BYTES that occur elsewhere; n_chars counts what is left.
+
+    Null texts stay null with a null n_chars, shorter texts as they are; rows that repeat a
+    long text are all emptied; an empty table stays empty.
+    """
+    return drop_repeats(docs, length=PASSAGE_BYTES, gap=PASSAGE_GAP).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their training sequences."""
+    """The pieces of all documents in their training sequences.
+
+    A null or empty text is its end token alone; repeated rows are packed each; an empty
+    table gives no pieces.
+    """
     return pack_documents(docs, VOCABULARY)
 
 
