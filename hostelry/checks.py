@@ -590,7 +590,9 @@ WHERE id NOT IN (SELECT apartment_id FROM bookings) GROUP BY id"""),
         "numeric_summary": _with(["bookings"], "\nUNION ALL\n".join(
             f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 6) AS mean, "
             f"round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, "
-            f"CAST(max({c}) AS DOUBLE) AS max FROM bookings"
+            f"CAST(max({c}) AS DOUBLE) AS max, "
+            + ", ".join(f"round(quantile_cont({c}, {q / 100}), 6) AS p{q}" for q in (25, 50, 75))
+            + " FROM bookings"
             for c in ("id", "user_id", "num_guests", "total_price")
         )),
         "first_bookings": _with(["bookings"], "SELECT * FROM bookings ORDER BY id LIMIT 10"),

@@ -10,9 +10,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import Table
+from .quantiles import QUARTILES, first_pass, numeric_columns, quantiles_of
 
 _COLUMNS = ("check", "column", "violations", "rows")
 
@@ -143,20 +143,29 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and approximate quartiles per numeric column."""
-    entries = []
-    for f in df.schema:
-        if isinstance(f.dataType, T.NumericType):
-            value = F.col(f.name).cast("double")
-            entries.append(
-                F.struct(
-                    F.lit(f.name).alias("column"), F.count(value).alias("n"),
-                    F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-                    F.min(value).alias("min"), F.max(value).alias("max"),
-                    *[F.percentile_approx(value, q).alias(f"p{q * 100:.0f}") for q in (0.25, 0.5, 0.75)],
-                )
-            )
-    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    """Count, mean, deviation, extremes and exact quartiles per numeric column.
+
+    Two passes: the first one's single row, also a bound for the ranges in which the second
+    looks for the quartiles, is read to the driver.  NaN counts as missing; a column
+    without values has nulls.
+    """
+    stats = first_pass(df, numeric_columns(df))
+    entries = [
+        F.struct(
+            F.lit(s.name).alias("column"), F.lit(s.n).cast("long").alias("n"),
+            *[F.lit(getattr(s, c)).cast("double").alias(c) for c in ("mean", "std", "min", "max")],
+        )
+        for s in stats
+    ]
+    if not entries:
+        return df.sparkSession.range(0).selectExpr(
+            "'' AS column", "0L AS n", *[f"0D AS {c}" for c in ("mean", "std", "min", "max", "p25", "p50", "p75")]
+        )
+    known = df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    quartiles = quantiles_of(df, stats).groupBy("column").agg(
+        *[F.max(F.when(F.col("share") == q, F.col("value"))).alias(f"p{q * 100:.0f}") for q in QUARTILES]
+    )
+    return known.join(quartiles, "column", "left").select("column", "n", "mean", "std", "min", "max", "p25", "p50", "p75")
 
 
 def row_count(df: DataFrame) -> DataFrame:

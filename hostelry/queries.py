@@ -296,7 +296,7 @@ def _sorted_table_range(d: Data) -> DataFrame:
 
 def _numeric_summary(d: Data) -> DataFrame:
     numbers = d.raw("bookings").select("id", "user_id", "num_guests", "total_price")
-    return quality.numeric_summary(numbers).select("column", "n", "mean", "std", "min", "max")
+    return quality.numeric_summary(numbers)
 
 
 def _bucketed_join(d: Data) -> DataFrame:
