@@ -390,30 +390,42 @@ def _lost_values() -> str:
     return _with(["bookings"], "\nUNION ALL\n".join(parts))
 
 
+# Where the rows of each stored table come from, and the column that is added up.
+_STORED = {
+    "apartments": ("apartments", "price"),
+    "apartment_attributes": ("apartment_attributes", "square_feet"),
+    "user_viewings": ("user_viewings", "user_id"), "bookings": ("bookings", "total_price"),
+    "curated_apartments": ("c_apartments", "price"),
+    "curated_apartment_details": ("c_details", "square_feet"),
+    "curated_user_activity": ("activity", "total_price"),
+    "pres_rental_performance_weekly": ("performance", "total_active_listings"),
+    "pres_rental_performance_monthly": ("monthly", "total_active_listings"),
+    "pres_popular_locations_weekly": ("locations", "total_bookings"),
+    "pres_top_listings_weekly": ("top_listings", "total_revenue"),
+    "pres_user_engagement_weekly": ("engagement", "total_bookings"),
+    "pres_user_booking_history": ("history", "total_spend"),
+}
+
+
+def _totals(tables: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, "
+        f"CAST(sum(CAST({_STORED[t][1]} AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {_STORED[t][0]}"
+        for t in tables
+    )
+
+
 def _pipeline() -> str:
     """Rows and a total of every table that the pipeline stores."""
-    stages = {
-        "apartments": ("apartments", "price"),
-        "apartment_attributes": ("apartment_attributes", "square_feet"),
-        "user_viewings": ("user_viewings", "user_id"), "bookings": ("bookings", "total_price"),
-        "curated_apartments": ("c_apartments", "price"),
-        "curated_apartment_details": ("c_details", "square_feet"),
-        "curated_user_activity": ("activity", "total_price"),
-        "pres_rental_performance_weekly": ("performance", "total_active_listings"),
-        "pres_rental_performance_monthly": ("monthly", "total_active_listings"),
-        "pres_popular_locations_weekly": ("locations", "total_bookings"),
-        "pres_top_listings_weekly": ("top_listings", "total_revenue"),
-        "pres_user_engagement_weekly": ("engagement", "total_bookings"),
-        "pres_user_booking_history": ("history", "total_spend"),
-    }
-    parts = [
-        f"SELECT '{table}' AS \"table\", count(*) AS rows, "
-        f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {stage}"
-        for table, (stage, value) in stages.items()
-    ]
-    parts.append("SELECT 'presentation_metrics', 1::BIGINT, CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) "
-                 "FROM e_bookings")
-    return _with([s for s, _ in stages.values()] + ["e_bookings"], "\nUNION ALL\n".join(parts))
+    metrics = ("SELECT 'presentation_metrics', 1::BIGINT, CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) "
+               "FROM e_bookings")
+    return _with([s for s, _ in _STORED.values()] + ["e_bookings"], f"{_totals(list(_STORED))}\nUNION ALL\n{metrics}")
+
+
+def _refreshed() -> str:
+    """The same of the tables that late activity changes: as if it had been there from the start."""
+    tables = [t for t in _STORED if t.startswith("pres_") or t == "curated_user_activity"]
+    return _with([_STORED[t][0] for t in tables], _totals(tables))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -622,6 +634,12 @@ FROM bookings b LEFT JOIN apartments a ON a.id = b.apartment_id"""),
             for t in SOURCE_TABLES
         )),
         "pipeline_e2e": _pipeline(),
+        "partial_refresh": _refreshed(),
+        "refreshed_history": _with(["history"], "SELECT * FROM history"),
+        "users_by_quarter": _with(["activity"], """
+SELECT CAST(date_trunc('quarter', date_trunc('week', activity_date)) AS DATE) AS period,
+  count(DISTINCT user_id) AS users, true AS within_error
+FROM activity WHERE activity_date IS NOT NULL GROUP BY ALL"""),
         "flat_snapshot": _with(["bookings"], "SELECT id, user_id, total_price FROM bookings"),
         "even_table": _with(
             ["apartment_attributes"], "SELECT id, cityname, square_feet FROM apartment_attributes"

@@ -22,7 +22,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000  # the sketch misses a rank by at most one part in so many
 ROWS_AT_ONCE = 2_000_000  # rows of one range whose values are counted
 SMALL = 100_000  # columns of no more rows need no range
-_GRID = 1000
+_GRID = 250  # points of a narrowing sketch
 
 
 @dataclass

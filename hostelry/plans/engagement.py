@@ -6,11 +6,15 @@ including the per-user windows, sees at most one row per user and day.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import guarded_ratio, money, period_start
+from ..operators.facts import user_days_of
 from ..operators.repeat import flag_repeat_days
 from .kpis import CONFIRMED
 from .rental import BOOKING, bookings_of, known_stay
@@ -40,11 +44,16 @@ def user_engagement(
     activity: DataFrame, repeat_days: int = 30, week_start: str = "MON"
 ) -> DataFrame:
     """Weekly users, new users, bookings per user, stay length and repeat rate."""
+    return engagement_of(_user_days(activity), repeat_days, week_start)
+
+
+def engagement_of(user_days: DataFrame, repeat_days: int = 30, week_start: str = "MON") -> DataFrame:
+    """The dataset from one row per (user, day)."""
     week = period_start(F.col("day"), "week", week_start)
     first_day = F.row_number().over(W.partitionBy("user_id").orderBy("day")) == 1
     # The windows leave the rows partitioned by user, so this grouping stays local.
     user_weeks = (
-        flag_repeat_days(_user_days(activity), repeat_days)
+        flag_repeat_days(user_days, repeat_days)
         .withColumn("is_new", first_day)
         .groupBy("user_id", week.alias("week_start_date"))
         .agg(
@@ -93,10 +102,14 @@ def favorite_cities(bookings: DataFrame, details: DataFrame, week_start: str = "
     details are a single row.
     """
     week = period_start(F.col("activity_date"), "week", week_start)
+    counted = bookings.groupBy("user_id", week.alias("week_start_date"), "apartment_id").agg(F.count(F.lit(1)).alias("n"))
+    return favorites_of(counted, details)
+
+
+def favorites_of(counted: DataFrame, details: DataFrame) -> DataFrame:
+    """The most booked city from the bookings ``n`` per (user, week, listing)."""
     per_city = (
-        bookings.groupBy("user_id", week.alias("week_start_date"), "apartment_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(details.select("apartment_id", "city"), "apartment_id")
+        counted.join(details.select("apartment_id", "city"), "apartment_id")
         .where(F.col("city").isNotNull())
         .groupBy("user_id", "week_start_date", "city")
         .agg(F.sum("n").alias("n"))
@@ -121,9 +134,32 @@ def user_booking_history(
         start = since.cast("timestamp")
         wanted = bookings.where(at >= start)
         bookings = bookings.where(at >= start - F.expr(f"interval {int(repeat_days)} days"))
+    history = _history(_user_days(bookings), repeat_days, week_start)
+    if since is not None:
+        history = history.where(F.col("week_start_date") >= since)
+    return _with_favorites(history, favorite_cities(wanted, details, week_start))
+
+
+def history_of(
+    user_days: DataFrame, details: DataFrame, repeat_days: int = 30, week_start: str = "MON", weeks: Sequence[date] | None = None,
+) -> DataFrame:
+    """The dataset from bookings per (user, day, listing).
+
+    ``weeks`` limits it to those weeks; days before them only count for the repeat window.
+    """
+    week = period_start(F.col("day"), "week", week_start)
+    booked = user_days.where(F.col("bookings") > 0)
+    history = _history(user_days_of(booked), repeat_days, week_start)
+    counted = booked.groupBy("user_id", week.alias("week_start_date"), "apartment_id").agg(F.sum("bookings").alias("n"))
+    if weeks is not None:
+        history, counted = (df.where(F.col("week_start_date").isin(list(weeks))) for df in (history, counted))
+    return _with_favorites(history, favorites_of(counted, details))
+
+
+def _history(user_days: DataFrame, repeat_days: int, week_start: str) -> DataFrame:
     week = period_start(F.col("day"), "week", week_start)
-    history = (
-        flag_repeat_days(_user_days(bookings), repeat_days)
+    return (
+        flag_repeat_days(user_days, repeat_days)
         .groupBy("user_id", week.alias("week_start_date"))
         .agg(
             F.sum("bookings").alias("total_bookings"),
@@ -132,9 +168,9 @@ def user_booking_history(
             F.bool_or("is_repeat").alias("is_repeat_customer"),
         )
     )
-    if since is not None:
-        history = history.where(F.col("week_start_date") >= since)
-    favorites = favorite_cities(wanted, details, week_start)
+
+
+def _with_favorites(history: DataFrame, favorites: DataFrame) -> DataFrame:
     return history.join(favorites, ["user_id", "week_start_date"], "left").select(
         "user_id", "week_start_date", "total_bookings", "total_spend", "avg_booking_duration",
         "favorite_city", "is_repeat_customer",

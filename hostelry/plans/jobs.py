@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.columns import period_start
+from ..operators import facts
+from ..operators.conform import conform
 from ..operators.curated import (
     curated_apartments, curated_details, user_activity, with_activity_ids,
 )
@@ -17,8 +21,8 @@ from ..operators.enrich import (
     enrich_apartments, enrich_attributes, enrich_bookings, enrich_viewings,
 )
 from ..operators.periods import lookback
-from ..schemas import CURATED_ROUTES, RAW_ROUTES, SOURCE_TABLES, create_layers, qualified
-from ..session import configure
+from ..schemas import CURATED_ROUTES, RAW_ROUTES, SOURCE_TABLES, TABLES, create_layers, qualified
+from ..session import configure, materialize
 from ..sources.csv import FREE_TEXT, read_seed
 from ..sources.snapshots import Audit, read_latest, write_snapshot
 from ..sources.tables import refresh_table, replace_table
@@ -39,6 +43,9 @@ TIME_COLUMNS = {
     "bookings": "booking_date",
 }
 
+REPEAT_DAYS = 30  # a booking this soon after another makes a repeat customer
+# Weekly tables of a bounded number of rows a week.
+CARRIED_OVER = ("pres_popular_locations_weekly", "pres_top_listings_weekly")
 STATUS_SCHEMA = "table string, status string, rows bigint, target string, error string"
 
 
@@ -183,28 +190,103 @@ def generate_metrics(
     return fan_out(spark, ["presentation_metrics"], one)
 
 
+def _datasets(spark: SparkSession, prefix: str = "", weeks: list[date] | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The six presentation datasets from the stored reductions and listing tables.
+
+    With ``weeks`` the three datasets with a row per week and place, listing or user hold those
+    weeks only, and only the folders around them are read.  The other three have one
+    row per period and come whole.
+    """
+    apartments, details = (spark.table(qualified(t, prefix)) for t in ("curated_apartments", "curated_apartment_details"))
+    near = None if weeks is None else _periods_around(weeks)
+    listing_days, user_days = facts.LISTING_DAYS.read(spark, prefix), facts.USER_DAYS.read(spark, prefix)
+    some_listing_days, some_user_days = (r.read(spark, prefix, near) for r in (facts.LISTING_DAYS, facts.USER_DAYS))
+    active = (F.col("bookings") > 0) | (F.col("viewings") > 0)
+    week = period_start(F.col("day")).alias("week_start_date")
+
+    def of_weeks(df: DataFrame) -> DataFrame:
+        return df if weeks is None else df.where(F.col("week_start_date").isin(weeks))
+
+    def performance(grain: str) -> DataFrame:
+        last = listing_days.where(active).agg(period_start(F.max("day"), grain).alias("last"))
+        return rental.performance_of(apartments, details, facts.nights_of(listing_days, grain), last, grain)
+
+    def locations() -> DataFrame:
+        counted = some_listing_days.where(active).groupBy(week, "apartment_id").agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bookings", "viewings")]
+        )
+        return rental.locations_of(apartments, details, of_weeks(counted))
+
+    return {
+        "pres_rental_performance_weekly": lambda: performance("week"),
+        "pres_rental_performance_monthly": lambda: performance("month"),
+        "pres_popular_locations_weekly": locations,
+        "pres_top_listings_weekly": lambda: rental.top_of(
+            apartments, details, of_weeks(facts.listing_weeks_of(some_listing_days))
+        ),
+        "pres_user_engagement_weekly": lambda: engagement.engagement_of(facts.user_days_of(user_days)),
+        "pres_user_booking_history": lambda: engagement.history_of(some_user_days, details, REPEAT_DAYS, weeks=weeks),
+    }
+
+
+def _periods_around(weeks: list[date]) -> set[date]:
+    """Folders of the reductions that hold the weeks' days and the repeat window before them."""
+    days = {w + timedelta(days=d) for w in weeks for d in range(-REPEAT_DAYS, 7)}
+    return {d.replace(month=d.month - (d.month - 1) % 3, day=1) for d in days}
+
+
 def build_presentation(
     spark: SparkSession, as_of: datetime, prefix: str = "", sink: Sink | None = None
 ) -> DataFrame:
-    """The six presentation datasets from the curated tables."""
-    apartments, details, activity = (
-        spark.table(qualified(t, prefix))
-        for t in ("curated_apartments", "curated_apartment_details", "curated_user_activity")
-    )
-    places = (apartments, details, activity)
-    build = {
-        "pres_rental_performance_weekly": lambda: rental.rental_performance(*places, "week"),
-        "pres_rental_performance_monthly": lambda: rental.rental_performance(*places, "month"),
-        "pres_popular_locations_weekly": lambda: rental.popular_locations(*places),
-        "pres_top_listings_weekly": lambda: rental.top_listings(*places),
-        "pres_user_engagement_weekly": lambda: engagement.user_engagement(activity),
-        "pres_user_booking_history": lambda: engagement.user_booking_history(activity, details),
-    }
-    return fan_out(
-        spark, build, lambda t: _put(build[t](), t, as_of, prefix, sink, arrange=True)
+    """The six presentation datasets; the activity table is read twice, for the reductions."""
+    facts.build_facts(spark, spark.table(qualified("curated_user_activity", prefix)), prefix)
+    build = _datasets(spark, prefix)
+    return fan_out(  # all at a time: each is bound by its few small last stages
+        spark, build, lambda t: _put(build[t](), t, as_of, prefix, sink, arrange=True), len(build)
     )
 
 
+def touched_weeks(late: DataFrame) -> list[date]:
+    """Weeks whose rows late activity can change: its own, those of its nights, and the repeat window after it."""
+    week = period_start(F.col("day")).alias("week")
+    own = facts.LISTING_DAYS.of(late)
+    booked = facts.nights_of(own).select(F.col("period").alias("week"))
+    after = facts.USER_DAYS.of(late).where("bookings > 0").select(F.explode(F.sequence(
+        period_start(F.col("day")), period_start(F.date_add("day", REPEAT_DAYS)), F.expr("interval 7 days"))).alias("week"))
+    weeks = own.where((F.col("bookings") > 0) | (F.col("viewings") > 0)).select(week).union(booked).union(after)
+    return sorted(r[0] for r in weeks.distinct().collect())  # bounded by the calendar
+
+
+def refresh_presentation(spark: SparkSession, late: DataFrame, as_of: datetime, prefix: str = "") -> DataFrame:
+    """Bring the stored reductions and the presentation up to date with late activity rows.
+
+    ``late`` has the columns of the activity table without ids, rows not loaded before.  The
+    rows are appended to the activity table with ids after the last one; of the
+    reductions the touched folders are replaced.  Of the datasets with a row per week and place, listing or
+    user the touched weeks are computed: the history, which grows with the users, has a folder per week and
+    only those are written; the other two, some rows for each week of the calendar, are written with
+    their other weeks carried over.  The activity table itself is not read, but for its greatest id.
+    """
+    name = qualified("curated_user_activity", prefix)
+    last = spark.table(name).agg(F.coalesce(F.max("activity_id"), F.lit(0)).alias("last")).first()["last"]
+    rows = with_activity_ids(late).withColumn("activity_id", F.col("activity_id") + F.lit(last))
+    ready = conform(rows, TABLES["curated_user_activity"])
+    ready.select(*spark.table(name).columns).write.insertInto(name)
+    facts.merge_late(spark, late, prefix)
+    weeks = touched_weeks(late)
+    build = _datasets(spark, prefix, weeks)
+
+    def one(table: str) -> Audit:
+        fresh = build[table]()
+        if table in CARRIED_OVER:
+            others = spark.table(qualified(table, prefix)).where(~F.col("week_start_date").isin(weeks))
+            fresh = materialize(others.unionByName(fresh, allowMissingColumns=True), table)
+        return _put(fresh, table, as_of, prefix, None, arrange=True)
+
+    with facts.touched_partitions_only(spark):
+        return fan_out(spark, build, one)
+
+
 def seed_from_csv(
     spark: SparkSession, folder: str, database: str, location: str | None = None
 ) -> DataFrame:

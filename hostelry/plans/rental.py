@@ -57,6 +57,16 @@ def rental_performance(
     created before the period's end.  Counts and sums are running totals over
     creation periods, so listings are never repeated per period.
     """
+    nights = nights_per_period(confirmed_of(activity), grain, week_start)
+    last = activity.agg(period_start(F.max("activity_date"), grain, week_start).alias("last"))
+    return performance_of(apartments, details, nights, last, grain, week_start, approx_median)
+
+
+def performance_of(
+    apartments: DataFrame, details: DataFrame, nights: DataFrame, last: DataFrame, grain: str = "week",
+    week_start: str = "MON", approx_median: bool = False,
+) -> DataFrame:
+    """The dataset from booked nights per (listing, period) and the last period, a row of one column."""
     label = f"{grain}_start_date"
     known = apartments.select(
         "apartment_id", "price", F.coalesce("is_active", F.lit(False)).alias("active"),
@@ -82,18 +92,14 @@ def rental_performance(
         approx=approx_median,
     )
     occupied = (
-        nights_per_period(confirmed_of(activity), grain, week_start)
-        .join(active.select("apartment_id", "created"), "apartment_id")
+        nights.join(active.select("apartment_id", "created"), "apartment_id")
         .where(F.col("created") <= F.col("period"))
         .groupBy("period")
         .agg(F.sum("nights").alias("nights"))
     )
     bounds = (
         known.agg(F.min("created").alias("first"), F.max("created").alias("newest"))
-        .unionByName(
-            activity.agg(period_start(F.max("activity_date"), grain, week_start).alias("last")),
-            allowMissingColumns=True,
-        )
+        .unionByName(last, allowMissingColumns=True)
         .agg(F.min("first").alias("first"),
              F.coalesce(F.max("last"), F.max("newest")).alias("last"))
     )
@@ -145,6 +151,11 @@ def popular_locations(
             F.count_if(F.col("activity_type") == VIEWING).alias("viewings"),
         )
     )
+    return locations_of(apartments, details, per_listing)
+
+
+def locations_of(apartments: DataFrame, details: DataFrame, per_listing: DataFrame) -> DataFrame:
+    """The dataset from bookings and viewings per (week, listing)."""
     places = listings(apartments, details).select("apartment_id", "city", "state", "price")
     price, booked = money(F.col("price")), F.col("bookings")
     return (
@@ -198,8 +209,13 @@ def top_listings(
     week_start: str = "MON", since: Column | None = None,
 ) -> DataFrame:
     """The ``n`` listings with the highest confirmed revenue of each week."""
+    return top_of(apartments, details, listing_weeks(activity, week_start, since), n)
+
+
+def top_of(apartments: DataFrame, details: DataFrame, weeks: DataFrame, n: int = 10) -> DataFrame:
+    """The dataset from the figures per (week, listing)."""
     ranked = top_per_group(
-        listing_weeks(activity, week_start, since), "week_start_date",
+        weeks, "week_start_date",
         [F.col("total_revenue").desc_nulls_last(), F.col("apartment_id").asc()], n,
     )
     named = listings(apartments, details).select("apartment_id", "title", "city", "state")

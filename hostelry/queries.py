@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 from functools import cached_property, reduce
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.columns import city_label, fixed_decimals, period_start
-from .operators import curated, enrich, quality
+from .operators import curated, enrich, facts, quality
 from .operators.conform import conform, lost_values, truncate_columns
 from .operators.periods import booked_nights, latest, lookback
 from .operators.ranking import first_rows
@@ -30,6 +30,8 @@ AS_OF = datetime(2001, 12, 31)
 EARLIER = datetime(2001, 12, 30)
 LOOKBACK_AS_OF = datetime(1998, 6, 30)
 LOOKBACK_DAYS = 30
+# Activity that the refresh queries load late.
+LATE_FROM, LATE_TO = "1997-03-05 00:00:00", "1997-04-10 00:00:00"
 TITLE_BYTES = 255
 # A money or count column of every table that the pipeline stores.
 STORED_TOTALS = {
@@ -262,14 +264,56 @@ def _pipeline_e2e(d: Data) -> DataFrame:
     jobs.run_pipeline(
         d.spark, d.raw, jobs.Lake(*roots, prefix), AS_OF, scratch_path(d.spark, "layers")
     )
+    return _totals(d, prefix, STORED_TOTALS)
+
+
+def _totals(d: Data, prefix: str, tables: Iterable[str]) -> DataFrame:
+    """Rows and the total of a column of each stored table."""
     parts = []
-    for table, value in STORED_TOTALS.items():
-        total = F.sum(F.col(value).cast("decimal(18,2)")).cast("double")
+    for table in tables:
+        total = F.sum(F.col(STORED_TOTALS[table]).cast("decimal(18,2)")).cast("double")
         rows = d.spark.table(qualified(table, prefix)).agg(F.count(F.lit(1)).alias("rows"), total.alias("total"))
         parts.append(rows.select(F.lit(table).alias("table"), "rows", "total"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _refreshed(d: Data) -> str:
+    """Layers whose presentation was built without some activity, which was then merged in."""
+    prefix = _own_layers(d)
+    at = F.col("activity_date")
+    is_late = F.coalesce(
+        (at >= F.lit(LATE_FROM).cast("timestamp")) & (at < F.lit(LATE_TO).cast("timestamp")) & (F.col("source_id") % 3 == 0), F.lit(False)
+    )
+    refresh_table(d.apartments, "curated_apartments", AS_OF, prefix)
+    refresh_table(d.details, "curated_apartment_details", AS_OF, prefix)
+    refresh_table(curated.with_activity_ids(d.activity.where(~is_late)), "curated_user_activity", AS_OF, prefix)
+    jobs.require_ok("presentation", jobs.build_presentation(d.spark, AS_OF, prefix))
+    jobs.require_ok("refresh", jobs.refresh_presentation(d.spark, d.activity.where(is_late), AS_OF, prefix))
+    return prefix
+
+
+def _partial_refresh(d: Data) -> DataFrame:
+    """Rows and totals of the tables that late activity changes."""
+    tables = [t for t in STORED_TOTALS if t.startswith("pres_") or t == "curated_user_activity"]
+    return _totals(d, _refreshed(d), tables)
+
+
+def _refreshed_history(d: Data) -> DataFrame:
+    return d.spark.table(qualified("pres_user_booking_history", _refreshed(d))).drop("etl_inserted_at")
+
+
+def _users_by_quarter(d: Data) -> DataFrame:
+    """Users per quarter, counted, and whether the merged weekly sketches tell them within three standard errors."""
+    week = period_start(F.col("activity_date"))
+    known = d.activity.where(F.col("activity_date").isNotNull())
+    counted = known.groupBy(F.to_date(F.date_trunc("quarter", week)).alias("period")).agg(F.countDistinct("user_id").alias("users"))
+    sketches = facts.USER_WEEKS.of(facts.USER_DAYS.of(d.activity))
+    told = facts.users_between(sketches, "quarter").withColumnRenamed("users", "estimate")
+    error = 3 * 1.04 / 2 ** (facts.SKETCH_BITS / 2)
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.lit(error) * F.col("users")
+    return counted.join(told, "period").select("period", "users", near.alias("within_error"))
+
+
 def _csv_seed(d: Data) -> DataFrame:
     """Seed files to source tables, with the row count of each."""
     folder = scratch_path(d.spark, "seed")
@@ -417,6 +461,9 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "csv_roundtrip": _csv_roundtrip,
     "load_audit": _load_audit,
     "pipeline_e2e": _pipeline_e2e,
+    "partial_refresh": _partial_refresh,
+    "refreshed_history": _refreshed_history,
+    "users_by_quarter": _users_by_quarter,
     "csv_seed": _csv_seed,
     "flat_snapshot": _flat_snapshot,
     "even_table": _even_table,

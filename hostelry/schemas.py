@@ -191,7 +191,7 @@ _ALL = [
             ("favorite_city", TEXT, 100), ("is_repeat_customer", FLAG),
         ),
         key=("user_id", "week_start_date"), spread="user_id",
-        order=("user_id", "week_start_date"),
+        order=("user_id", "week_start_date"), partition_by=("week_start_date",),
     ),
     Table(
         PRESENTATION, "presentation_metrics",

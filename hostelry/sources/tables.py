@@ -25,9 +25,20 @@ def lay_out(df: DataFrame, table: Table) -> DataFrame:
         return df
     if table.spread == "ALL":
         return df.repartition(1).sortWithinPartitions(*order)
-    lead = [*table.partition_by, *order]
+    lead = [*table.partition_by, *[c for c in order if c not in table.partition_by]]
     tiebreak = [c for c in table.key if c in df.columns and c not in lead]
-    return df.repartitionByRange(*lead, *tiebreak).sortWithinPartitions(*lead)
+    if not table.partition_by:
+        return df.repartitionByRange(*lead, *tiebreak).sortWithinPartitions(*lead)
+    return into_partitions(df, *lead, *tiebreak).sortWithinPartitions(*lead)
+
+
+def into_partitions(df: DataFrame, *order: str) -> DataFrame:
+    """Ranges of ``order``, as many as shuffle partitions however few the rows are.
+
+    For tables with a folder per period: a task opens one file per folder, one after another,
+    so a range that holds all of them would keep the others waiting.
+    """
+    return df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
 
 
 def refresh_table(
