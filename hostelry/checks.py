@@ -201,6 +201,13 @@ LEFT JOIN (SELECT CAST(date_trunc('{grain}', night) AS DATE) AS period, count(*)
       GROUP BY ALL) o ON o.period = p.period"""
 
 
+# The snapshots of the history queries, all rows of each.
+_STAGES["taken"] = "SELECT k, TIMESTAMP '1998-01-01 00:00:00' + k * INTERVAL 20 DAY AS taken FROM range(6) r(k)"
+_STAGES["listed"] = """
+SELECT taken, id, is_active AND (id + k) % 5 <> 0 AS is_active,
+  CASE WHEN id % 3 = 0 AND k >= 3 THEN price * 2 ELSE price END AS price
+FROM apartments, taken WHERE id % 7 <> k"""
+
 _STAGES["performance"] = _performance("week")
 _STAGES["monthly"] = _performance("month")
 _STAGES |= {f"d_{t}": damaged_statement(t, t) for t in SOURCE_TABLES}
@@ -213,6 +220,7 @@ _NEEDS = {
     "locations": ["activity", "booked", "listing"],
     "top_listings": ["booked", "night", "listing"], "engagement": ["activity", "booked"],
     "history": ["booked", "listing"], "latest_history": ["history"],
+    "listed": ["apartments", "taken"],
     "latest_listings": ["top_listings"], "performance": ["activity", "listing", "night"],
     "monthly": ["activity", "listing", "night"], **{f"d_{t}": [t] for t in SOURCE_TABLES},
 }
@@ -651,6 +659,32 @@ FROM activity WHERE activity_date IS NOT NULL GROUP BY ALL"""),
 SELECT id, apartment_id, booking_date, total_price FROM bookings
 WHERE booking_date >= TIMESTAMP '1998-05-31 00:00:00'
   AND booking_date < TIMESTAMP '1998-07-01 00:00:00'"""),
+        "hot_key_join": _with(["bookings", "user_viewings"], """
+SELECT id, user_id, total_price, n_viewings FROM bookings
+LEFT JOIN (SELECT user_id, count(*) AS n_viewings FROM user_viewings GROUP BY ALL) USING (user_id)"""),
+        "published_snapshot": _with(
+            ["bookings"], "SELECT id, user_id, booking_date, total_price, currency FROM bookings"
+        ),
+        "manifest_totals": _with(["bookings"], """
+SELECT count(*) AS n_rows, min(booking_date) AS oldest, max(booking_date) AS newest FROM bookings"""),
+        # Ends of runs, found by comparing each row with the same listing 20 days before and after.
+        "listing_validity": _with(["listed"], """
+SELECT b.id, b.is_active, b.price, b.taken AS valid_from, (
+    SELECT min(e.taken) + INTERVAL 20 DAY FROM listed e WHERE e.id = b.id AND e.taken >= b.taken
+      AND e.taken < (SELECT max(taken) FROM taken)
+      AND NOT EXISTS (SELECT 1 FROM listed n WHERE n.id = e.id AND n.taken = e.taken + INTERVAL 20 DAY
+        AND n.is_active = b.is_active AND n.price = b.price)) AS valid_to
+FROM listed b WHERE NOT EXISTS (SELECT 1 FROM listed p WHERE p.id = b.id
+  AND p.taken = b.taken - INTERVAL 20 DAY AND p.is_active = b.is_active AND p.price = b.price)"""),
+        "active_as_known": _with(["listed"], """
+SELECT CAST(w.week AS DATE) AS week_start_date,
+  count(*) FILTER (WHERE l.is_active) AS active_as_known,
+  (SELECT count(*) FROM listed WHERE is_active AND taken = (SELECT max(taken) FROM taken)) AS active_now
+FROM (SELECT unnest(generate_series((SELECT date_trunc('week', min(taken)) FROM taken),
+    (SELECT date_trunc('week', max(taken)) FROM taken), INTERVAL 7 DAY)) AS week) w
+LEFT JOIN listed l ON l.taken = (
+  SELECT max(taken) FROM taken WHERE taken < w.week + INTERVAL 7 DAY)
+GROUP BY w.week"""),
         "bucketed_join": _with(["bookings", "apartment_attributes"], """
 SELECT apartment_id, cityname, count(*) AS n_bookings,
   CAST(sum(CAST(total_price AS DECIMAL(18,2))) AS DOUBLE) AS spend

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +14,18 @@ from pyspark.sql import types as T
 from .functions.columns import city_label, fixed_decimals, period_start
 from .operators import curated, enrich, facts, quality
 from .operators.conform import conform, lost_values, truncate_columns
+from .operators.history import known_per_period, validity
 from .operators.periods import booked_nights, latest, lookback
 from .operators.ranking import first_rows
 from .operators.repeat import rolling_repeat
 from .plans import engagement, insights, jobs, kpis, rental
 from .schemas import SOURCE_TABLES, TABLES, create_layers, qualified
 from .session import configure, scratch_path
+from .sources import hot_keys, manifest
 from .sources.csv import CSV_FILES, read_seed
 from .sources.json_rows import rows_to_json
 from .sources.sample_tables import base_table, damaged_table, source_table
-from .sources.snapshots import read_latest, write_snapshot
+from .sources.snapshots import read_history, read_latest, write_snapshot
 from .sources.tables import refresh_table, replace_table, spread_evenly, write_bucketed
 
 AS_OF = datetime(2001, 12, 31)
@@ -32,6 +34,8 @@ LOOKBACK_AS_OF = datetime(1998, 6, 30)
 LOOKBACK_DAYS = 30
 # Activity that the refresh queries load late.
 LATE_FROM, LATE_TO = "1997-03-05 00:00:00", "1997-04-10 00:00:00"
+# Snapshots of the listings that the history queries take: every 20 days from the first.
+FIRST_SNAPSHOT, SNAPSHOT_DAYS, SNAPSHOTS = datetime(1998, 1, 1), 20, 6
 TITLE_BYTES = 255
 # A money or count column of every table that the pipeline stores.
 STORED_TOTALS = {
@@ -363,6 +367,66 @@ def _bucketed_join(d: Data) -> DataFrame:
     )
 
 
+def _hot_key_join(d: Data) -> DataFrame:
+    """Every booking with the viewings of its user, over stored tables that split the hot users."""
+    buckets = int(d.spark.conf.get("spark.sql.shuffle.partitions"))
+    prefix = _own_layers(d)
+    bookings, viewings = (f"{qualified(t, prefix)}_by_user" for t in ("bookings", "user_viewings"))
+    per_user = d.raw("user_viewings").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_viewings"))
+    booked = d.raw("bookings").select("id", "user_id", "total_price")
+    hot_keys.write_pair(booked, per_user, "user_id", buckets, bookings, viewings)
+    return hot_keys.join_salted(d.spark.table(bookings), d.spark.table(viewings), "user_id", "left")
+
+
+def _published(d: Data) -> str:
+    """Two published snapshots of the bookings, the second with more columns, and one that was interrupted."""
+    root = scratch_path(d.spark, "published")
+    bookings = d.raw("bookings").select("id", "user_id", "booking_date", "total_price", "currency")
+    manifest.write_published(bookings.drop("currency"), root, "bookings", EARLIER, "booking_date")
+    manifest.write_published(bookings, root, "bookings", AS_OF, "booking_date")
+    manifest.stage(bookings.where("id % 2 = 0"), root, "bookings", AS_OF)
+    return root
+
+
+def _published_snapshot(d: Data) -> DataFrame:
+    return manifest.read_published(d.spark, _published(d), "bookings")
+
+
+def _manifest_totals(d: Data) -> DataFrame:
+    """Rows and extremes of the snapshot, from its manifest alone."""
+    return manifest.manifest(d.spark, _published(d), "bookings").agg(
+        F.sum("rows").alias("n_rows"), F.min("least").alias("oldest"), F.max("greatest").alias("newest")
+    )
+
+
+def _listing_snapshots(d: Data) -> DataFrame:
+    """Stored snapshots of all listings, in which some are missing or change their flag or price."""
+    root = scratch_path(d.spark, "listing_snapshots")
+    listed = d.raw("apartments").select("id", "is_active", "price")
+    for k in range(SNAPSHOTS):
+        seen = listed.where(F.col("id") % 7 != k).select(
+            "id", (F.col("is_active") & ((F.col("id") + k) % 5 != 0)).alias("is_active"),
+            F.when((F.col("id") % 3 == 0) & F.lit(k >= 3), F.col("price") * 2).otherwise(F.col("price")).alias("price"),
+        )
+        write_snapshot(seen, root, "apartments", FIRST_SNAPSHOT + timedelta(days=SNAPSHOT_DAYS * k))
+    stamped = read_history(d.spark, root, "apartments")
+    return stamped.withColumn("taken", F.to_timestamp("run_ts", "yyyyMMdd_HHmmss")).drop("run_ts")
+
+
+def _listing_validity(d: Data) -> DataFrame:
+    return validity(_listing_snapshots(d), "id", ["is_active", "price"], "taken")
+
+
+def _active_as_known(d: Data) -> DataFrame:
+    """Active listings per week as they were known at its end, beside those that the newest snapshot calls active."""
+    snapshots = _listing_snapshots(d)
+    active = validity(snapshots, "id", ["is_active"], "taken").where("is_active")
+    now = active.where("valid_to IS NULL").agg(F.count(F.lit(1)).alias("active_now")).scalar()
+    return known_per_period(active, snapshots.agg(F.max("taken"))).select(
+        F.col("period").alias("week_start_date"), F.col("known").alias("active_as_known"), now.alias("active_now")
+    )
+
+
 def _flat_snapshot(d: Data) -> DataFrame:
     """Files directly in a table's folder, without a snapshot level."""
     root = scratch_path(d.spark, "flat")
@@ -468,6 +532,11 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "flat_snapshot": _flat_snapshot,
     "even_table": _even_table,
     "bucketed_join": _bucketed_join,
+    "hot_key_join": _hot_key_join,
+    "published_snapshot": _published_snapshot,
+    "manifest_totals": _manifest_totals,
+    "listing_validity": _listing_validity,
+    "active_as_known": _active_as_known,
     "sorted_table_range": _sorted_table_range,
 }
 
