@@ -354,7 +354,7 @@ def _foreign(table: str, name: str, column: str, parent: str, key: str) -> str:
     )
 
 
-def _report() -> str:
+def _report(threshold: str = "0.0") -> str:
     parts = []
     for name in SOURCE_TABLES:
         table = TABLES[name]
@@ -367,7 +367,7 @@ def _report() -> str:
     union = "\nUNION ALL\n".join(parts)
     return _with([f"d_{t}" for t in SOURCE_TABLES], f"""
 SELECT *, CASE WHEN rows > 0 THEN round(violations::DOUBLE / rows, 6) ELSE 0.0::DOUBLE END AS rate,
-  0.0::DOUBLE AS threshold, violations = 0 AS passed
+  {threshold}::DOUBLE AS threshold, violations <= {threshold} * rows AS passed
 FROM ({union})""")
 
 
@@ -604,6 +604,19 @@ WHERE id NOT IN (SELECT apartment_id FROM bookings) GROUP BY id"""),
             *_too_long("(SELECT text AS title FROM documents)", "", {"title": 255}),
         ]),
         "dq_report": _report(),
+        "dq_report_limits": _report("""(CASE "check" WHEN 'primary_key' THEN 0.02
+    WHEN 'not_null' THEN 0.1 WHEN 'max_length' THEN 0.05 ELSE 0.5 END)"""),
+        "price_density": _with(["bookings"], """,
+s AS (SELECT min(v) AS lo, (max(v) - min(v)) / 4095 AS d, (max(v) - min(v)) / 199 AS step, count(*) AS total,
+  stddev_samp(v) * pow(count(*), -0.2) AS h FROM (SELECT total_price AS v FROM bookings)),
+p AS (SELECT (total_price - lo) / d AS place, least(CAST(floor((total_price - lo) / d) AS INTEGER), 4094) AS cell
+  FROM bookings, s WHERE total_price IS NOT NULL),
+c AS (SELECT cell, sum(w) AS w FROM (
+  SELECT cell, cell + 1 - place AS w FROM p UNION ALL SELECT cell + 1, place - cell FROM p) GROUP BY cell)
+SELECT CAST(g.point AS INTEGER) AS point, round(lo + step * g.point, 6) AS x,
+  round(1e6::DOUBLE * sum(w * exp(-pow((lo + step * g.point - (lo + d * cell)) / h, 2) / 2))
+    / any_value(total * h * sqrt(2 * pi())), 6) AS density
+FROM (SELECT unnest(range(0, 200)) AS point) g, s, c GROUP BY g.point, lo, step""".lstrip()),
         "type_conformance": _with(["bookings"], "SELECT * FROM bookings"),
         "lost_values": _lost_values(),
         "profile_columns": _profile(),

@@ -6,12 +6,12 @@ Every check returns (check, column, violations, rows) for one table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import Table
+from .census import census
 from .quantiles import QUARTILES, first_pass, numeric_columns, quantiles_of
 
 _COLUMNS = ("check", "column", "violations", "rows")
@@ -112,9 +112,8 @@ def report(
     frames: Mapping[str, DataFrame], tables: Mapping[str, Table],
     thresholds: Mapping[str, float] | None = None, default_threshold: float = 0.0,
 ) -> DataFrame:
-    """One row per check: violations, rate and whether the threshold holds."""
-    parts = [check_table(df, tables[name], frames) for name, df in frames.items()]
-    result = reduce(DataFrame.unionByName, parts)
+    """One row per check: violations, rate and whether the threshold holds; each table is scanned once."""
+    result = census(frames, tables)
     limit = F.lit(float(default_threshold))
     for check, value in (thresholds or {}).items():
         limit = F.when(F.col("check") == check, F.lit(float(value))).otherwise(limit)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from .functions.columns import city_label, fixed_decimals, period_start
 from .operators import curated, enrich, facts, quality
 from .operators.conform import conform, lost_values, truncate_columns
+from .operators.distribution import binned_density
 from .operators.history import known_per_period, validity
 from .operators.periods import booked_nights, latest, lookback
 from .operators.ranking import first_rows
@@ -427,6 +428,18 @@ def _active_as_known(d: Data) -> DataFrame:
     )
 
 
+def _price_density(d: Data) -> DataFrame:
+    """The density of all booking prices, per million of the currency."""
+    density = binned_density(d.raw("bookings"), "total_price")
+    return density.select("point", "x", (F.col("density") * 1e6).alias("density"))
+
+
+def _dq_limits(d: Data) -> DataFrame:
+    """The report of the damaged tables under limits of their own for three kinds of checks."""
+    frames = {t: damaged_table(d.spark, d.folder, t) for t in SOURCE_TABLES}
+    return quality.report(frames, TABLES, {"primary_key": 0.02, "not_null": 0.1, "max_length": 0.05}, 0.5)
+
+
 def _flat_snapshot(d: Data) -> DataFrame:
     """Files directly in a table's folder, without a snapshot level."""
     root = scratch_path(d.spark, "flat")
@@ -533,6 +546,8 @@ _BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "even_table": _even_table,
     "bucketed_join": _bucketed_join,
     "hot_key_join": _hot_key_join,
+    "price_density": _price_density,
+    "dq_report_limits": _dq_limits,
     "published_snapshot": _published_snapshot,
     "manifest_totals": _manifest_totals,
     "listing_validity": _listing_validity,
@@ -548,7 +563,7 @@ ROUNDED = {
     "occupancy_summary", "corr_occupancy_revenue", "bookings_per_user_summary",
     "booking_count_distribution", "booking_histogram", "booking_histogram_all_weeks",
     "booking_kde", "booking_kde_all_weeks", "numeric_summary", "duration_summary", "corr_duration_spend",
-    "repeat_rate_summary", "repeat_vs_onetime", "dq_report", "activity_rate", "avg_activity_rate",
+    "repeat_rate_summary", "repeat_vs_onetime", "dq_report", "dq_report_limits", "price_density", "activity_rate", "avg_activity_rate",
 }
 
 

@@ -63,3 +63,42 @@ def test_numeric_summary(rows):
     assert set(got) == {"a", "c"}
     assert (got["a"].n, got["a"].mean, got["a"].std, got["a"].min, got["a"].max, got["a"].p50) == (3, 2.0, 1.0, 1.0, 3.0, 2.0)
     assert got["c"].n == 2
+
+
+def test_census_equals_the_single_checks(spark):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from hostelry.operators.census import census
+    from hostelry.sources.sample_tables import damaged_table
+    frames = {t: damaged_table(spark, "/root/testdata/sf0.001", t) for t in SOURCE_TABLES}
+    alone = reduce(DataFrame.unionByName, [quality.check_table(frames[t], TABLES[t], frames) for t in SOURCE_TABLES])
+    assert sorted(collect(census(frames, TABLES))) == sorted(collect(alone))
+
+
+def test_census_of_null_and_repeated_keys(spark):
+    from hostelry.operators.census import census
+    from hostelry.operators.conform import conform
+    parents = conform(spark.createDataFrame([(1,), (1,), (None,), (None,), (3,)], "id long"), TABLES["apartments"])
+    children = conform(
+        spark.createDataFrame([(1, 1, 9), (2, 1, 9), (3, 2, None), (4, None, None)], "id long, apartment_id long, booking_id long"),
+        TABLES["bookings"])
+    got = {(r["table"], r["check"], r["column"]): (r.violations, r.rows)
+           for r in census({"apartments": parents, "bookings": children}, TABLES).collect()}
+    assert got[("apartments", "primary_key", "id")] == (2, 5)
+    assert got[("bookings", "foreign_key", "apartment_id")] == (1, 4)
+
+
+def test_report_scans_each_table_once(spark, tmp_path):
+    from hostelry.sources.sample_tables import source_table
+    frames = {}
+    for t in SOURCE_TABLES:
+        source_table(spark, "/root/testdata/sf0.001", t).write.parquet(str(tmp_path / t))
+        frames[t] = spark.read.parquet(str(tmp_path / t))
+    text = quality.report(frames, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 2 * len(SOURCE_TABLES)  # the violations and the sizes read one aggregate
+    out = quality.report(frames, TABLES)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan") == len(SOURCE_TABLES)
