@@ -7,11 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def running_median(values: DataFrame, buckets: int = 256, approx: bool = False) -> DataFrame:
+def running_median(
+    values: DataFrame, buckets: int = 256, approx: bool = False, weight: str | None = None
+) -> DataFrame:
     """Median, as of each ``period``, of all values of that or an earlier period.
 
-    ``values`` has (period, value); the result has one row per period with
-    values.  Joining every value to every later period would multiply the data
+    ``values`` has (period, value) and may have a whole number ``weight``, how often
+    the value counts; the result has one row per period with values.  Joining every value to every later period would multiply the data
     by the number of periods.  Instead the values are counted per quantile
     bucket, which finds the bucket that holds the middle rank of each period,
     and only the values of those buckets are looked at again.  ``approx`` stops
@@ -22,8 +24,9 @@ def running_median(values: DataFrame, buckets: int = 256, approx: bool = False)
     boundaries = known.agg(
         F.expr(f"percentile_approx(value, array({shares}), 10000)")
     ).scalar()
+    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counted = (
-        known.groupBy("period", "value").agg(F.count(F.lit(1)).alias("n"))
+        known.groupBy("period", "value").agg(times.alias("n"))
         .withColumn("cuts", boundaries)
         .withColumn("bucket", F.expr("size(filter(cuts, c -> c <= value))"))
     )

@@ -203,13 +203,15 @@ def _datasets(spark: SparkSession, prefix: str = "", weeks: list[date] | None =
     some_listing_days, some_user_days = (r.read(spark, prefix, near) for r in (facts.LISTING_DAYS, facts.USER_DAYS))
     active = (F.col("bookings") > 0) | (F.col("viewings") > 0)
     week = period_start(F.col("day")).alias("week_start_date")
+    offered = rental.supply(apartments, details)
 
     def of_weeks(df: DataFrame) -> DataFrame:
         return df if weeks is None else df.where(F.col("week_start_date").isin(weeks))
 
     def performance(grain: str) -> DataFrame:
         last = listing_days.where(active).agg(period_start(F.max("day"), grain).alias("last"))
-        return rental.performance_of(apartments, details, facts.nights_of(listing_days, grain), last, grain)
+        nights = facts.nights_of(listing_days, grain)
+        return rental.performance_of(apartments, details, nights, last, grain, stored=offered)
 
     def locations() -> DataFrame:
         counted = some_listing_days.where(active).groupBy(week, "apartment_id").agg(

@@ -14,6 +14,7 @@ from ..functions.columns import guarded_ratio, money, period_end, period_start
 from ..operators.medians import running_median
 from ..operators.periods import nights_per_period, period_spine, stay_masks
 from ..operators.ranking import top_per_group
+from ..session import materialize
 from .kpis import CONFIRMED
 
 BOOKING, VIEWING = "booking", "viewing"
@@ -62,43 +63,62 @@ def rental_performance(
     return performance_of(apartments, details, nights, last, grain, week_start, approx_median)
 
 
-def performance_of(
-    apartments: DataFrame, details: DataFrame, nights: DataFrame, last: DataFrame, grain: str = "week",
-    week_start: str = "MON", approx_median: bool = False,
-) -> DataFrame:
-    """The dataset from booked nights per (listing, period) and the last period, a row of one column."""
-    label = f"{grain}_start_date"
+def supply(apartments: DataFrame, details: DataFrame) -> DataFrame:
+    """Listings per (day of creation, price, active flag) with their rates, stored once for every use.
+
+    Counts, prices and medians of all grains come from it, so the listing tables are read once for
+    all of them.  Listings without a creation date are left out.
+    """
+    rate = F.col("price_per_sqft")
     known = apartments.select(
         "apartment_id", "price", F.coalesce("is_active", F.lit(False)).alias("active"),
-        period_start(F.col("listing_created_on"), grain, week_start).alias("created"),
+        F.to_date("listing_created_on").alias("created"),
     ).where(F.col("created").isNotNull())
-    active = known.where("active")
-
-    rate, price = F.col("price_per_sqft"), money(F.col("price"))
-    per_created = (
+    reduced = (
         known.join(details.select("apartment_id", rate), "apartment_id", "left")
-        .groupBy(F.col("created").alias("period"))
+        .groupBy("created", "price", "active")
         .agg(
-            F.count(F.lit(1)).alias("new_listings"),
-            F.count_if("active").alias("listings"),
-            F.sum(F.when(F.col("active"), price)).alias("price_sum"),
-            F.count(F.when(F.col("active"), price)).alias("priced"),
-            F.sum(F.when(F.col("active") & (rate > 0), rate)).alias("rate_sum"),
-            F.count_if(F.col("active") & (rate > 0)).alias("rated"),
+            F.count(F.lit(1)).alias("n"), F.sum(F.when(rate > 0, rate)).alias("rate_sum"),
+            F.count_if(rate > 0).alias("rated"),
         )
     )
+    return materialize(reduced, "supply")
+
+
+def performance_of(
+    apartments: DataFrame, details: DataFrame, nights: DataFrame, last: DataFrame, grain: str = "week",
+    week_start: str = "MON", approx_median: bool = False, stored: DataFrame | None = None,
+) -> DataFrame:
+    """The dataset from booked nights per (listing, period) and the last period, a row of one column.
+
+    ``stored`` is the ``supply`` of the listings where it is at hand; otherwise it is stored here.
+    """
+    label = f"{grain}_start_date"
+    if stored is None:
+        stored = supply(apartments, details)
+    offered = stored.withColumn("created", period_start(F.col("created"), grain, week_start))
+    price, active = money(F.col("price")), F.col("active")
+    per_created = offered.groupBy(F.col("created").alias("period")).agg(
+        F.sum("n").alias("new_listings"),
+        F.coalesce(F.sum(F.when(active, F.col("n"))), F.lit(0)).alias("listings"),
+        F.sum(F.when(active, price * F.col("n"))).alias("price_sum"),
+        F.coalesce(F.sum(F.when(active & price.isNotNull(), F.col("n"))), F.lit(0)).alias("priced"),
+        F.sum(F.when(active, F.col("rate_sum"))).alias("rate_sum"),
+        F.coalesce(F.sum(F.when(active, F.col("rated"))), F.lit(0)).alias("rated"),
+    )
     medians = running_median(
-        active.select(F.col("created").alias("period"), F.col("price").alias("value")),
-        approx=approx_median,
+        offered.where("active").select(F.col("created").alias("period"), F.col("price").alias("value"), "n"),
+        approx=approx_median, weight="n",
     )
+    begun = period_start(F.col("listing_created_on"), grain, week_start)
     occupied = (
-        nights.join(active.select("apartment_id", "created"), "apartment_id")
+        nights.join(apartments.where("is_active").select("apartment_id", begun.alias("created")), "apartment_id")
         .where(F.col("created") <= F.col("period"))
         .groupBy("period")
         .agg(F.sum("nights").alias("nights"))
     )
     bounds = (
-        known.agg(F.min("created").alias("first"), F.max("created").alias("newest"))
+        offered.agg(F.min("created").alias("first"), F.max("created").alias("newest"))
         .unionByName(last, allowMissingColumns=True)
         .agg(F.min("first").alias("first"),
              F.coalesce(F.max("last"), F.max("newest")).alias("last"))

@@ -50,3 +50,12 @@ def test_approx_is_within_one_bucket(rows):
 def test_empty(rows):
     df = rows("period date, value double", (D0, None))
     assert running_median(df).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [4, 256])
+def test_weights_count_as_repeats(rows, buckets):
+    rng = random.Random(9)
+    data = [(p, v, rng.randrange(1, 6)) for p, v in sample(3, 300, lambda r: float(r.randrange(50)))]
+    df = rows("period date, value double, n long", *data, (D0, None, 5))
+    got = {r.period: r.median for r in running_median(df, buckets, weight="n").collect()}
+    assert got == expected([(p, v) for p, v, n in data for _ in range(n)])

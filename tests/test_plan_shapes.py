@@ -128,3 +128,16 @@ def test_rolling_count_shuffles_its_steps_once(spark):
 def test_bucketed_join_has_no_shuffle_before_the_join(spark):
     text = plan(queries()["bucketed_join"](spark, SMALL))
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_performance_reads_the_listings_twice(spark, stored_activity, tmp_path):
+    """Once for the stored supply, which serves counts, prices and medians, and once for the occupied nights."""
+    data = Data(spark, SMALL)
+    listed, detailed = str(tmp_path / "listed"), str(tmp_path / "detailed")
+    data.apartments.write.parquet(listed)
+    data.details.write.parquet(detailed)
+    frames = spark.read.parquet(listed), spark.read.parquet(detailed)
+    text = rental.rental_performance(*frames, stored_activity)._jdf.queryExecution().optimizedPlan().toString()
+    # The second read is for the flag and the date; the details are in the supply already.
+    assert len(re.findall(r"Relation \[[^\]]*listing_created_on", text)) == 1
+    assert not re.search(r"Relation \[[^\]]*price_per_sqft", text)
