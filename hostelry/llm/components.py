@@ -2,11 +2,68 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import stored
 
+# Pairs a task gathers before it reduces them, and nodes it holds before it hands them on.
+FOREST_PAIRS, FOREST_NODES = 1 << 17, 1 << 20
+
+
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of every node that is not the least of its component."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+    child = root != np.arange(len(nodes))
+    return nodes[child], nodes[root[child]]
+
+
+def spanning_forest(edges: DataFrame, pairs: int = FOREST_PAIRS, nodes: int = FOREST_NODES) -> DataFrame:
+    """Edges (u, v) with the components of ``edges``, fewer per task than the task has nodes.
+
+    A group in which every pair is linked has quadratically many edges; each task
+    reduces its own to one edge per node as they come, so the pairs are neither
+    written nor shuffled.  A task holds ``pairs`` new edges and ``nodes`` reduced ones
+    (and as many new ones as reduced, so that the work stays linear); with more, it
+    hands the reduced ones on and begins anew.  Loops give nothing, and so do null
+    ends; no edges give no rows.
+    """
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        reduced = waiting = 0
+        for batch in batches:
+            held.append((batch["u"].to_numpy(np.int64), batch["v"].to_numpy(np.int64)))
+            waiting += len(batch)
+            if waiting < max(pairs, reduced):
+                continue
+            u, v = _stars(*(np.concatenate(side) for side in zip(*held)))
+            held, reduced, waiting = [(u, v)], len(u), 0
+            if reduced >= nodes:
+                yield pd.DataFrame({"u": u, "v": v})
+                held, reduced = [], 0
+        if held:
+            u, v = _stars(*(np.concatenate(side) for side in zip(*held)))
+            yield pd.DataFrame({"u": u, "v": v})
+
+    whole = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
+    return whole.mapInPandas(reduce, "u long, v long")
+
 
 def _with_least_neighbour(edges: DataFrame, name: str) -> DataFrame:
     """Edges (u, v) with the least of u and all its neighbours as ``m``.

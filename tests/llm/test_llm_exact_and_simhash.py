@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from hostelry.llm import exact_dedup, simhash
-from hostelry.llm.components import connected_components
+from hostelry.llm.components import connected_components, spanning_forest
 
 CLASHING = "doc_id long, text string, row string, name int, level string, h int, key string, u long, _copy int"
 
@@ -131,6 +131,42 @@ def test_near_links_find_every_pair(spark, segments):
     assert got == expected
 
 
+def test_widths_follow_the_count_and_links_do_not(spark):
+    assert simhash.choose_segments(0) == simhash.choose_segments(10**6) == (22, 21, 21)
+    assert simhash.choose_segments(10**8) == simhash.choose_segments(10**10) == (32, 32)
+    for widths in [(22, 21, 21), (32, 32)]:
+        assert sum(widths) == 64
+        assert sum(r + 1 for r in simhash.radii(4, len(widths))) > 4
+    probes, entries = simhash._balls(32, 2)
+    assert len(probes) == len(entries) == 33
+    assert {a ^ b for a in probes for b in entries} == set(simhash._ball(32, 2))
+    chosen = simhash.near_links(spark.createDataFrame([(0,), (15,), (31,), (-1,)], "f long"))
+    assert {tuple(r) for r in chosen.collect()} == {(0, 15), (15, 31)}
+
+
+@pytest.mark.parametrize("pairs, nodes", [(1, 3), (50, 1000), (1 << 17, 1 << 20)])
+def test_spanning_forest_keeps_components_with_few_edges(spark, pairs, nodes):
+    rng = random.Random(6)
+    clique = [(a, b) for a in range(120) for b in range(a)]
+    path = [(1000 + i, 1001 + i) for i in range(50)]
+    edges = [*clique, *path, (5000, 5000), (None, 3), *((rng.randrange(6000, 6200), rng.randrange(6000, 6200)) for _ in range(90))]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    forest = spanning_forest(df, pairs, nodes)
+    expected = {r["node"]: r["component"] for r in connected_components(df).collect()}
+    assert {r["node"]: r["component"] for r in connected_components(forest).collect()} == expected
+    if nodes > 500:
+        assert forest.count() < 3 * len(expected) < len(clique)
+    assert spanning_forest(df.where(F.lit(False))).collect() == []
+
+
+def test_simhash_of_a_text_of_two_megabytes(rows):
+    texts = ["word " * 400_000, "word " * 400_001, "x" * 2_000_000]
+    found = {r["doc_id"]: r for r in simhash.near_duplicates(_docs(rows, texts)).collect()}
+    assert [found[i]["component_id"] for i in range(3)] == [0, 0, 2]
+    assert found[2]["fingerprint"] == f"{_fingerprint(texts[2]):016x}"
+
+
 def test_drop_near_duplicates(rows):
     texts = _variants(2, 2, 3, 200)
     docs = _docs(rows, texts + ["other"], [5, 4, 3, 9, 8, 7, 1])
