@@ -77,7 +77,8 @@ def with_activity_ids(activity: DataFrame) -> DataFrame:
 
     The rows are range-partitioned, sorted and written once; an id is then the
     rows in earlier files plus the position inside the file.  The only window
-    runs over one row per written file.
+    runs over one row per written file; those rows are broadcast, so the
+    activity itself is not shuffled again and stays in time order.
     """
     stored = materialize(
         activity.repartitionByRange(*ACTIVITY_ORDER).sortWithinPartitions(*ACTIVITY_ORDER),
@@ -85,18 +86,19 @@ def with_activity_ids(activity: DataFrame) -> DataFrame:
     )
     placed = stored.select(
         *stored.columns,
-        F.regexp_extract("_metadata.file_path", r"part-(\d+)-", 1).cast("int").alias("part"),
-        F.regexp_extract("_metadata.file_path", r"-c(\d+)\.", 1).cast("int").alias("piece"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.row_index").alias("position"),
     )
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("int")
     earlier = W.orderBy("part", "piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("part", "piece").agg(F.count(F.lit(1)).alias("n"))
-        .select("part", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skipped"))
+        placed.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+        .withColumns({"part": number(r"part-(\d+)-"), "piece": number(r"-c(\d+)\.")})
+        .select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skipped"))
     )
     columns = TABLES["curated_user_activity"].schema.names
     return (
-        placed.join(offsets, ["part", "piece"])
+        placed.join(F.broadcast(offsets), "file")
         .withColumn("activity_id", F.col("skipped") + F.col("position") + 1)
         .select(*columns)
     )

@@ -207,12 +207,16 @@ def nights_of(listing_days: DataFrame, grain: str = "week", week_start: str = "M
 
     The days of a week lie in one month or two; no day is in two masks, so the parts add up.
     """
+    parts = night_parts(listing_days, grain, week_start)
+    return parts if grain == "month" else parts.groupBy("apartment_id", "period").agg(F.sum("nights").alias("nights"))
+
+
+def night_parts(listing_days: DataFrame, grain: str = "week", week_start: str = "MON") -> DataFrame:
+    """As ``nights_of``, but a week in two months is two rows: for sums over listings, without a shuffle."""
     masks = listing_days.where(F.col("mask") != 0).select("apartment_id", F.col("day").alias("month"), "mask")
     if grain == "month":
         return masks.select("apartment_id", F.col("month").alias("period"), F.bit_count("mask").cast("long").alias("nights"))
-    return masks.select("apartment_id", F.inline(_weeks_of_mask(F.col("month"), F.col("mask"), week_start))).where(
-        "nights > 0"
-    ).groupBy("apartment_id", "period").agg(F.sum("nights").alias("nights"))
+    return masks.select("apartment_id", F.inline(_weeks_of_mask(F.col("month"), F.col("mask"), week_start))).where("nights > 0")
 
 
 def _weeks_of_mask(month: Column, mask: Column, week_start: str) -> Column:
@@ -241,8 +245,9 @@ def listing_weeks_of(listing_days: DataFrame, week_start: str = "MON") -> DataFr
         _weeks_of_mask(F.col("day"), F.col("mask"), week_start),
         lambda x: F.struct(x["period"], none, none, none, none, x["nights"]).cast(kinds))
     entries = F.when(F.coalesce(F.col("mask"), F.lit(0)) != 0, F.concat(own, booked)).otherwise(own)
-    return (
-        listing_days.select("apartment_id", F.inline(entries))
+    return (  # days without a confirmed booking or night hold none of the figures
+        listing_days.where((F.col("confirmed") > 0) | (F.col("mask") != 0))
+        .select("apartment_id", F.inline(entries))
         .groupBy("week_start_date", "apartment_id")
         .agg(
             F.sum("revenue").cast("double").alias("total_revenue"), F.coalesce(F.sum("confirmed"), F.lit(0)).alias("total_bookings"),
