@@ -84,6 +84,26 @@ def engagement_of(user_days: DataFrame, repeat_days: int = 30, week_start: str =
     )
 
 
+def engagement_after(
+    stored: DataFrame, some_user_days: DataFrame, first_days: DataFrame, weeks: Sequence[date],
+    repeat_days: int = 30, week_start: str = "MON",
+) -> DataFrame:
+    """The dataset ``stored`` after a change of activity that touches ``weeks`` only.
+
+    ``some_user_days``, one row per (user, day), holds those weeks and the repeat window before
+    them; the other weeks keep their figures.  A new first day of a user also changes the week
+    that was the first, so the users are counted anew from ``first_days`` (user_id, day).
+    """
+    touched, counted = F.col("week_start_date").isin(list(weeks)), ("total_users", "new_users")
+    fresh = engagement_of(some_user_days, repeat_days, week_start)
+    figures = fresh.where(touched).drop(*counted).unionByName(stored.where(~touched).select(*[c for c in fresh.columns if c not in counted]))
+    week = period_start(F.col("day"), "week", week_start)
+    begun = first_days.groupBy(week.alias("week_start_date")).agg(F.count(F.lit(1)).alias("new_users"))
+    so_far = W.orderBy("week_start_date").rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = figures.join(F.broadcast(begun), "week_start_date", "left").withColumn("new_users", F.coalesce("new_users", F.lit(0)))
+    return known.withColumn("total_users", F.sum("new_users").over(so_far)).select(*fresh.columns)  # one row per week
+
+
 def weekly_active_users(
     activity: DataFrame, week_start: str = "MON", approx: bool = False
 ) -> DataFrame:
@@ -150,7 +170,8 @@ def history_of(
     week = period_start(F.col("day"), "week", week_start)
     booked = user_days.where(F.col("bookings") > 0)
     history = _history(user_days_of(booked), repeat_days, week_start)
-    counted = booked.groupBy("user_id", week.alias("week_start_date"), "apartment_id").agg(F.sum("bookings").alias("n"))
+    # Hardly a user books a listing twice in a week, so the rows are looked up as they are and grouped by city alone.
+    counted = booked.select("user_id", week.alias("week_start_date"), "apartment_id", F.col("bookings").alias("n"))
     if weeks is not None:
         history, counted = (df.where(F.col("week_start_date").isin(list(weeks))) for df in (history, counted))
     return _with_favorites(history, favorites_of(counted, details))

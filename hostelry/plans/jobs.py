@@ -46,6 +46,8 @@ TIME_COLUMNS = {
 REPEAT_DAYS = 30  # a booking this soon after another makes a repeat customer
 # Weekly tables of a bounded number of rows a week.
 CARRIED_OVER = ("pres_popular_locations_weekly", "pres_top_listings_weekly")
+# The weekly table of users, some figures of which run on over the weeks.
+RUNNING = "pres_user_engagement_weekly"
 STATUS_SCHEMA = "table string, status string, rows bigint, target string, error string"
 
 
@@ -195,7 +197,7 @@ def _datasets(spark: SparkSession, prefix: str = "", weeks: list[date] | None =
 
     With ``weeks`` the three datasets with a row per week and place, listing or user hold those
     weeks only, and only the folders around them are read.  The other three have one
-    row per period and come whole.
+    row per period and come whole; of the weekly users the figures of other weeks are those stored.
     """
     apartments, details = (spark.table(qualified(t, prefix)) for t in ("curated_apartments", "curated_apartment_details"))
     near = None if weeks is None else _periods_around(weeks)
@@ -210,9 +212,16 @@ def _datasets(spark: SparkSession, prefix: str = "", weeks: list[date] | None =
 
     def performance(grain: str) -> DataFrame:
         last = listing_days.where(active).agg(period_start(F.max("day"), grain).alias("last"))
-        nights = facts.nights_of(listing_days, grain)
+        nights = facts.night_parts(listing_days, grain)
         return rental.performance_of(apartments, details, nights, last, grain, stored=offered)
 
+    def users() -> DataFrame:
+        some = facts.user_days_of(some_user_days)
+        if weeks is None:
+            return engagement.engagement_of(some, REPEAT_DAYS)
+        first_days = user_days.groupBy("user_id").agg(F.min("day").alias("day"))
+        return engagement.engagement_after(spark.table(qualified(RUNNING, prefix)), some, first_days, weeks, REPEAT_DAYS)
+
     def locations() -> DataFrame:
         counted = some_listing_days.where(active).groupBy(week, "apartment_id").agg(
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bookings", "viewings")]
@@ -226,7 +235,7 @@ def _datasets(spark: SparkSession, prefix: str = "", weeks: list[date] | None =
         "pres_top_listings_weekly": lambda: rental.top_of(
             apartments, details, of_weeks(facts.listing_weeks_of(some_listing_days))
         ),
-        "pres_user_engagement_weekly": lambda: engagement.engagement_of(facts.user_days_of(user_days)),
+        RUNNING: users,
         "pres_user_booking_history": lambda: engagement.history_of(some_user_days, details, REPEAT_DAYS, weeks=weeks),
     }
 
@@ -252,9 +261,10 @@ def touched_weeks(late: DataFrame) -> list[date]:
     """Weeks whose rows late activity can change: its own, those of its nights, and the repeat window after it."""
     week = period_start(F.col("day")).alias("week")
     own = facts.LISTING_DAYS.of(late)
-    booked = facts.nights_of(own).select(F.col("period").alias("week"))
-    after = facts.USER_DAYS.of(late).where("bookings > 0").select(F.explode(F.sequence(
-        period_start(F.col("day")), period_start(F.date_add("day", REPEAT_DAYS)), F.expr("interval 7 days"))).alias("week"))
+    booked = facts.night_parts(own).select(F.col("period").alias("week"))
+    last = F.date_add("day", F.when(F.col("bookings") > 0, REPEAT_DAYS).otherwise(0))
+    after = facts.USER_DAYS.of(late).select(F.explode(F.sequence(
+        period_start(F.col("day")), period_start(last), F.expr("interval 7 days"))).alias("week"))
     weeks = own.where((F.col("bookings") > 0) | (F.col("viewings") > 0)).select(week).union(booked).union(after)
     return sorted(r[0] for r in weeks.distinct().collect())  # bounded by the calendar
 
@@ -267,8 +277,10 @@ def refresh_presentation(spark: SparkSession, late: DataFrame, as_of: datetime,
     reductions the touched folders are replaced.  Of the datasets with a row per week and place, listing or
     user the touched weeks are computed: the history, which grows with the users, has a folder per week and
     only those are written; the other two, some rows for each week of the calendar, are written with
-    their other weeks carried over.  The activity table itself is not read, but for its greatest id.
+    their other weeks carried over.  The activity table itself is not read, but for its greatest id;
+    ``late`` is computed once and stored.
     """
+    late = materialize(late, "late")
     name = qualified("curated_user_activity", prefix)
     last = spark.table(name).agg(F.coalesce(F.max("activity_id"), F.lit(0)).alias("last")).first()["last"]
     rows = with_activity_ids(late).withColumn("activity_id", F.col("activity_id") + F.lit(last))
@@ -283,10 +295,12 @@ def refresh_presentation(spark: SparkSession, late: DataFrame, as_of: datetime,
         if table in CARRIED_OVER:
             others = spark.table(qualified(table, prefix)).where(~F.col("week_start_date").isin(weeks))
             fresh = materialize(others.unionByName(fresh, allowMissingColumns=True), table)
+        elif table == RUNNING:
+            fresh = materialize(fresh, table)  # it reads the table that it replaces
         return _put(fresh, table, as_of, prefix, None, arrange=True)
 
     with facts.touched_partitions_only(spark):
-        return fan_out(spark, build, one)
+        return fan_out(spark, build, one, len(build))
 
 
 def seed_from_csv(

@@ -145,3 +145,55 @@ def test_late_bookings_rewrite_their_periods_only(spark, tmp_path):
     ids = spark.table("fp_curated.curated_user_activity").agg(F.countDistinct("activity_id"), F.max("activity_id"), F.count("*")).first()
     assert ids[0] == ids[1] == ids[2] == activity.count()
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "static"
+
+
+def test_late_activity_is_computed_once(spark, tmp_path):
+    activity = Data(spark, SMALL).activity
+    late = (F.col("activity_date") >= "1997-03-05") & (F.col("activity_date") < "1997-03-20") & (F.col("source_id") % 2 == 1)
+    _layers(spark, tmp_path, "fo_", activity.where(~late))
+    rows, computed = activity.where(late), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(len(batch))
+            yield batch
+
+    jobs.require_ok("refresh", jobs.refresh_presentation(spark, rows.mapInPandas(count, rows.schema), NOW, "fo_"))
+    assert computed.value == rows.count() > 2
+    # Whole scans of the user days take two columns, for the first days; the others are pruned to folders.
+    plan = jobs._datasets(spark, "fo_", jobs.touched_weeks(rows))[jobs.RUNNING]()._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "fact_user_days" in x]
+    whole = [x for x in scans if "spend" not in x.split("ReadSchema")[-1] and "bookings" not in x.split("ReadSchema")[-1]]
+    assert len(scans) == 2 and len(whole) == 1
+
+
+def test_late_first_days_and_other_activity_reach_the_users(spark, tmp_path):
+    """A user known since June turns out to have been there in March, by activity of a kind of its own."""
+    activity = Data(spark, SMALL).activity
+    first = activity.groupBy("user_id").agg(F.min("activity_date").alias("first")).where("first > '1996-01-01'").orderBy("user_id").limit(1)
+    like = activity.where("activity_type = 'viewing'").limit(1).drop("user_id")
+    late = like.crossJoin(first.select("user_id")).withColumns({
+        "activity_date": F.lit("1995-11-08 10:00:00").cast("timestamp"), "activity_type": F.lit("call"), "source_id": F.lit(10**9)})
+    late = spark.createDataFrame(late.select(*activity.columns).collect(), activity.schema)
+    _layers(spark, tmp_path, "fr_", activity)
+    before = {r["week_start_date"]: r for r in spark.table(qualified(jobs.RUNNING, "fr_")).collect()}
+    jobs.require_ok("refresh", jobs.refresh_presentation(spark, late, NOW, "fr_"))
+    stored = spark.table(qualified(jobs.RUNNING, "fr_"))
+    assert _rows(stored) == _rows(engagement.user_engagement(activity.unionByName(late)))
+    after = {r["week_start_date"]: r for r in stored.collect()}
+    changed = {w for w in after if w not in before or after[w].new_users != before[w].new_users}
+    assert len(changed) == 2 and date(1995, 11, 6) in changed
+
+
+def test_ids_need_no_second_shuffle_of_the_activity(spark):
+    key, activity = "spark.sql.autoBroadcastJoinThreshold", Data(spark, SMALL).activity
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        numbered = with_activity_ids(activity)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+        ids = [r[0] for r in numbered.orderBy("activity_date", "activity_type", F.col("etl_inserted_at")).select("activity_id").collect()]
+        assert sorted(ids) == list(range(1, activity.count() + 1))
+    finally:
+        spark.conf.set(key, before)
