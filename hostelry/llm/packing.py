@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import stored, whole_text
@@ -31,7 +31,7 @@ WINDOW = 2048
 END_TOKEN = 1
 GRID = 8
 PARTS = 3
-RANK_ROWS = 50_000  # rows ranked in one group, about
+FILE_ROWS = 50_000  # rows of one file of the tables of places, at least about
 PIECE_BATCH = 200  # texts of one Arrow batch while ids are written
 LONG_WORD = 2000  # texts with longer words or blank runs are left to the tokenizer library
 _LONG = regex.compile(r"\S{%d}|\s{%d}" % (LONG_WORD, LONG_WORD))
@@ -68,22 +68,27 @@ def encoder(path: str) -> Encoder:
 def _pieces(docs: DataFrame, path: str, id_column: str, text_column: str, window: int, end_token: int, with_ids: bool) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens and ids of each piece, and ``row``, a number of its own.
 
+    ``part`` is the task that made the piece and ``nth`` counts the pieces of its length before it there.
     Only a remainder may be cut later, so whole windows have ids on demand alone.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter[int] = Counter()
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
                 ids = np.append(encoder(path).encode(row.text), np.uint32(end_token)).astype("<u4")
                 for start in range(0, len(ids), window):
                     data = ids[start : start + window].tobytes()
-                    rows.append((row.doc_id, start, len(data) // 4, zlib.crc32(data), len(ids), data if with_ids or len(data) < 4 * window else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                    length = len(data) // 4
+                    rows.append((row.doc_id, start, length, zlib.crc32(data), len(ids), seen[length], data if with_ids or length < window else None))
+                    seen[length] += 1
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth", "ids"])
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, nth long, ids binary"
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-    return stored(source.mapInPandas(cut, schema).withColumn("row", F.monotonically_increasing_id()), "pieces", batch_rows=PIECE_BATCH)
+    made = source.mapInPandas(cut, schema).withColumns({"row": F.monotonically_increasing_id(), "part": F.spark_partition_id()})
+    return stored(made, "pieces", batch_rows=PIECE_BATCH)
 
 
 def patterns(units: int, parts: int) -> list[tuple[int, ...]]:
@@ -199,20 +204,25 @@ def plan_windows(histogram: dict[int, int], window: int = WINDOW, grid: int = GR
     return Plan(table[:, 0], table[:, 1], table[:, 2], table[:, 3], counts[:, 0] - counts[:, 1], stream, sequences)
 
 
+def _files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows at most, in no more partitions than they are worth."""
+    return df.coalesce(1 + rows // FILE_ROWS)
+
+
 def _ranked(rows: DataFrame, total: int) -> DataFrame:
-    """``rows`` with q, the rank of each among the rows of its length.
+    """``rows``, ``total`` of them, with q, the rank of each among the rows of its length.
 
-    Rows of one length are dealt into groups of bounded size; a group's first rank is
-    the sum of the groups before it.
+    The task that made a row has counted those of its length before it; to that comes what
+    earlier tasks made.  No row is sorted, and the window has one row per task and length.
     """
-    grouped = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(1 + total // RANK_ROWS)))
-    sizes = grouped.groupBy("length", "part").agg(F.count("*").alias("size"))
+    sizes = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("size"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("length").alias("l"), F.col("part").alias("p"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    offsets = stored(offsets, "offsets")
-    joined = grouped.join(offsets, (grouped["length"] == offsets["l"]) & (grouped["part"] == offsets["p"]))
-    within = Window.partitionBy("length", "part").orderBy("row")
-    return joined.withColumn("q", F.col("base") + F.row_number().over(within) - 1).drop("l", "p", "base", "part")
+    offsets = stored(_files(offsets, total), "offsets")
+    # One row per task and length: as a file it is small, but in memory too much to send to every executor.
+    offsets = offsets.hint("merge")
+    joined = rows.join(offsets, (rows["length"] == offsets["l"]) & (rows["part"] == offsets["p"]))
+    return joined.withColumn("q", F.col("base") + F.col("nth")).drop("l", "p", "base")
 
 
 def pack_documents(
@@ -240,32 +250,33 @@ def pack_documents(
     def slot(length: pd.Series, q: pd.Series) -> pd.DataFrame:
         return plan.find(length.to_numpy(np.int64), q.to_numpy(np.int64))
 
-    ranked = _ranked(remainders, sum(histogram.values())).withColumn("slot", slot("length", "q"))
-    placed = stored(ranked.select(*digests.columns, "slot.*"), "placed")
+    total = sum(histogram.values())
     zero = F.lit(0).cast("long")
-    # A sequence has at most a window of pieces.
-    ahead = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    patterned = placed.where("at < 0").withColumns({
-        "offset": F.coalesce(F.sum("length").over(ahead), zero), "skip": zero,
-    }).drop("place", "at")
+    at, in_stream = F.col("slot.at"), F.col("slot.at") >= 0
     # Of a piece of the stream that crosses the end of a window, ``head`` ids are before it.
-    head = F.least("length", window - F.col("at") % window)
-    halves = placed.where("at >= 0").withColumn("head", head).select(
-        "*", F.explode(F.array(F.struct(zero.alias("skip"), F.col("head").alias("part")), F.struct(F.col("head").alias("skip"), (F.col("length") - F.col("head")).alias("part")))).alias("half")
-    ).where("half.part > 0")
-    stream = halves.select(
-        "doc_id", (F.col("start") + F.col("half.skip")).alias("start"), F.col("half.part").alias("length"), "ids_crc32", "doc_tokens", "row",
-        (F.floor((F.col("at") + F.col("half.skip")) / window) + plan.sequences).alias("sequence_id"),
-        ((F.col("at") + F.col("half.skip")) % window).alias("offset"), F.col("half.skip").alias("skip"),
-        (F.col("head") < F.col("length")).alias("cut"),
-    )
+    head = F.when(in_stream, F.least("length", window - at % window)).otherwise(F.col("length"))
+    sequence = F.when(in_stream, F.floor(at / window) + plan.sequences).otherwise(F.col("slot.sequence_id"))
+    place = F.when(in_stream, at % window).otherwise(F.col("slot.place"))
+
+    def half(skip: Column, length: Column, sequence_id: Column, place: Column) -> Column:
+        return F.struct(skip.alias("skip"), length.alias("length"), sequence_id.cast("long").alias("sequence_id"), place.cast("long").alias("place"))
+
+    halves = _ranked(remainders, total).withColumn("slot", slot("length", "q")).withColumn("head", head).select(
+        "doc_id", "start", "ids_crc32", "doc_tokens", "row", (F.col("head") < F.col("length")).alias("cut"),
+        F.inline(F.array(half(zero, F.col("head"), sequence, place), half(F.col("head"), F.col("length") - F.col("head"), sequence + 1, zero))),
+    ).where("length > 0")
+    # A sequence has at most a window of pieces; those of the stream follow each other too.
+    ahead = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "row", "skip"]
+    placed = halves.withColumns({"offset": F.coalesce(F.sum("length").over(ahead), zero), "start": F.col("start") + F.col("skip")})
+    placed = stored(_files(placed.select(*names, "cut"), total), "placed")
     full = digests.where(F.col("length") == window).withColumns({
         "sequence_id": F.col("row") + sequences, "offset": zero, "skip": zero,
     })
-    whole = patterned.unionByName(full).unionByName(stream.where("not cut").drop("cut"))
+    whole = placed.where("not cut").select(*names).unionByName(full.select(*names))
     bytes_of = pieces.select(F.col("row").alias("piece"), "ids")
     part = F.substring(F.col("ids"), (F.col("skip") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
-    cut = stored(stream.where("cut").drop("cut"), "cut")
+    cut = stored(_files(placed.where("cut").select(*names), 2 * -(-streamed // window)), "cut")
     cut = cut.join(bytes_of, cut["row"] == bytes_of["piece"]).withColumn("ids_crc32", F.crc32(part)).drop("piece", "ids")
     result = whole.unionByName(cut)
     if with_ids:

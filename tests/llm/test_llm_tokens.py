@@ -4,7 +4,7 @@ import hashlib
 import json
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from hostelry import session
 from hostelry.llm import bpe_codec, packing, token_counts
 from hostelry.llm.vocabulary import Vocabulary, vocabulary
 
@@ -142,6 +143,35 @@ def test_packing_of_repeated_ids_and_empty_table(spark, rows):
     assert bpe_codec.codec_digests(empty, PATH).collect() == []
 
 
+def test_packing_writes_few_files_and_sorts_no_rows_by_length(spark, rows, monkeypatch):
+    tables = {}
+    own = packing.stored
+
+    def recorded(df, name, **options):
+        tables[name] = own(df, name, **options)
+        return tables[name]
+
+    monkeypatch.setattr(packing, "stored", recorded)
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    monkeypatch.setattr(session, "RUNTIME_SETTINGS", session.RUNTIME_SETTINGS | held)
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        frame = packing.pack_documents(_docs(rows, ["a b", *_mixed(5, 120)] * 3).repartition(9), PATH)
+        by_sequence, by_doc = _packed(frame, 2048)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(by_doc) == list(range(363))
+    # Tables of so few rows are one file each, whatever the number of partitions before.
+    assert {name: len(tables[name].inputFiles()) for name in ("offsets", "placed", "cut")} == {"offsets": 1, "placed": 1, "cut": 1}
+    # Many equal lengths: each is counted where it is made, and ranks stay gapless over the tasks.
+    ranks = defaultdict(list)
+    remainders = tables["pieces"].where("length < 2048")
+    for r in packing._ranked(remainders, 363).select("length", "q").collect():
+        ranks[r["length"]].append(r["q"])
+    assert all(sorted(q) == list(range(len(q))) for q in ranks.values()) and max(map(len, ranks.values())) > 9
+
+
 def test_patterns_and_least_squares():
     assert sorted(packing.patterns(6, 3)) == [(1, 1, 4), (1, 2, 3), (1, 5), (2, 2, 2), (2, 4), (3, 3), (6,)]
     rng = np.random.default_rng(6)
