@@ -110,3 +110,20 @@ def test_drop_repeats_keeps_rows_and_columns(rows):
     assert kept.columns == docs.columns
     got = {r["doc_id"]: (r["text"], r["n"]) for r in kept.collect()}
     assert got == {0: ("left  right", 10), 1: ("é", 11), 2: ("alone", 12), 3: (None, 13)}
+
+
+def test_shared_passages_go_by_their_bytes_not_their_words(rows):
+    """A passage of over 50 words stays while it is under 400 bytes; the pipeline's shorter threshold takes it."""
+    from corpus_pipeline import PASSAGE_BYTES, PASSAGE_GAP
+
+    rng = random.Random(21)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n))
+    short, long = words(55), words(70)
+    assert PASSAGE_BYTES <= len(short) < 400 <= len(long)
+    texts = [f"{words(90)} {passage} {words(90)}" for passage in (short, short, long, long, words(70))]
+    docs = rows(SCHEMA, *[(i, t, 1, "x", 2, "m", 3) for i, t in enumerate(texts)])
+    for length, settings in ((400, {}), (PASSAGE_BYTES, {"length": PASSAGE_BYTES, "gap": PASSAGE_GAP})):
+        found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(docs, **settings).collect()}
+        assert [found[i] for i in range(len(texts))] == _brute(texts, length)
+        assert [found[i][0] for i in range(len(texts))] == [len(t) for t in texts]
+        assert [found[i][2] for i in range(len(texts))] == ([0, 0, 1, 1, 0] if length == 400 else [1, 1, 1, 1, 0])
