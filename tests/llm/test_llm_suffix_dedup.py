@@ -127,3 +127,38 @@ def test_shared_passages_go_by_their_bytes_not_their_words(rows):
         assert [found[i] for i in range(len(texts))] == _brute(texts, length)
         assert [found[i][0] for i in range(len(texts))] == [len(t) for t in texts]
         assert [found[i][2] for i in range(len(texts))] == ([0, 0, 1, 1, 0] if length == 400 else [1, 1, 1, 1, 0])
+
+
+def test_long_repeats_take_no_more_tables_than_short_ones(rows, monkeypatch):
+    """Runs of phrases are looked up in one round, whatever their length."""
+    from hostelry.llm import suffix_dedup
+
+    names = []
+    plain = suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name, **settings: names.append(name) or plain(df, name, **settings))
+    rng = random.Random(31)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = make(2000)
+    texts = [make(90) + passage + make(70), passage[300:] + make(50), make(40) + passage[:700] + "#" + passage[701:], make(800)]
+    docs = rows(SCHEMA, *[(i, t, 1, "x", 2, "m", 3) for i, t in enumerate(texts)])
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(docs, length=400, gap=40).collect()}
+    assert [found[i] for i in range(len(texts))] == _brute(texts, 400)
+    assert len(names) == len(set(names)) <= 12
+
+
+@pytest.mark.parametrize("block, together", [(1 << 17, 1 << 20), (7, 900), (64, 1)])
+def test_anchors_of_texts_searched_together_are_those_of_each(monkeypatch, block, together):
+    from hostelry.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "_BLOCK", block)
+    monkeypatch.setattr(suffix_dedup, "_TOGETHER", together)
+    rng = random.Random(3)
+    for gap in (2, 3, 20, 33):
+        texts = [bytes(rng.choice(b"abcdef"[: 2 + k % 5]) for _ in range(rng.randrange(gap + 7, 400))) for k in range(8)]
+        texts += [b"abc" * 100, b"z" * (gap + 7), bytes(range(200))]
+        for data, (same, x, lo) in zip(texts, suffix_dedup._anchors_of(texts, gap), strict=True):
+            ranks = suffix_dedup._ranks(data, 0, len(data) - 7).tolist()
+            lowest = [max(range(s, s + gap), key=lambda p: (-ranks[p], p)) for s in range(len(ranks) - gap + 1)]
+            first = [s for s, p in enumerate(lowest) if not s or p != lowest[s - 1]]
+            assert same is data
+            assert (lo.tolist(), x.tolist()) == (first, [lowest[s] for s in first])
